@@ -3,35 +3,73 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+_TEXT, _DATE, _TIME, _REAL, _INT = StringType(), DateType(), TimestampType(), DoubleType(), IntegerType()
+
+
+def _columns(**types: DataType) -> StructType:
+    return StructType([StructField(name, kind, nullable=False) for name, kind in types.items()])
+
 
-TRANSACTIONS = StructType.fromDDL(
-    "tx_id string not null, event_ts timestamp not null, value_date date not null, "
-    "account_id string not null, counterparty_id string not null, currency string not null, "
-    "direction string not null, amount double not null, product string not null, channel string not null"
+TRANSACTIONS = _columns(
+    tx_id=_TEXT,
+    event_ts=_TIME,
+    value_date=_DATE,
+    account_id=_TEXT,
+    counterparty_id=_TEXT,
+    currency=_TEXT,
+    direction=_TEXT,
+    amount=_REAL,
+    product=_TEXT,
+    channel=_TEXT,
 )
 
-BALANCES = StructType.fromDDL(
-    "as_of_date date not null, account_id string not null, currency string not null, "
-    "balance double not null, customer_segment string not null"
+BALANCES = _columns(
+    as_of_date=_DATE,
+    account_id=_TEXT,
+    currency=_TEXT,
+    balance=_REAL,
+    customer_segment=_TEXT,
 )
 
-CASHFLOWS = StructType.fromDDL(
-    "cf_id string not null, as_of_date date not null, maturity_date date not null, "
-    "counterparty_id string not null, currency string not null, direction string not null, "
-    "amount double not null, source string not null"
+CASHFLOWS = _columns(
+    cf_id=_TEXT,
+    as_of_date=_DATE,
+    maturity_date=_DATE,
+    counterparty_id=_TEXT,
+    currency=_TEXT,
+    direction=_TEXT,
+    amount=_REAL,
+    source=_TEXT,
 )
 
 # haircut_pct is a fraction (0.05 means five percent), eligible_lcr is 0 or 1.
-COLLATERAL = StructType.fromDDL(
-    "as_of_date date not null, collateral_id string not null, counterparty_id string not null, "
-    "currency string not null, market_value double not null, haircut_pct double not null, "
-    "eligible_lcr int not null"
+COLLATERAL = _columns(
+    as_of_date=_DATE,
+    collateral_id=_TEXT,
+    counterparty_id=_TEXT,
+    currency=_TEXT,
+    market_value=_REAL,
+    haircut_pct=_REAL,
+    eligible_lcr=_INT,
 )
 
-LIMITS = StructType.fromDDL(
-    "as_of_date date not null, counterparty_id string not null, limit_type string not null, "
-    "limit_amount double not null, currency string not null"
+LIMITS = _columns(
+    as_of_date=_DATE,
+    counterparty_id=_TEXT,
+    limit_type=_TEXT,
+    limit_amount=_REAL,
+    currency=_TEXT,
 )
 
 # table name -> (schema, partition column)

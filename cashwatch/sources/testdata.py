@@ -116,6 +116,6 @@ def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice"),
     )
     frame = keyed.groupBy("as_of_date", "counterparty_id", "limit_type", "currency").agg(
-        (F.sum("o_totalprice") * 0.0004).alias("limit_amount")
+        (F.sum("o_totalprice") * 0.0004 + 200).alias("limit_amount")
     )
     return conform(frame, LIMITS)
