@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,13 @@ from cashwatch.operators.liquidity import liquidity_base
 from cashwatch.operators.quality import dq_suite
 from cashwatch.plans.daily import daily_snapshot
 from cashwatch.schemas import INPUT_TABLES
-from cashwatch.sources.tables import read_parquet, stage, write_parquet, write_parquet_partitioned
+from cashwatch.sources.tables import (
+    read_parquet,
+    run_together,
+    stage,
+    write_parquet,
+    write_parquet_partitioned,
+)
 
 
 @dataclass(frozen=True)
@@ -66,7 +73,7 @@ def monitoring_frames(
     """The five output frames by table name.
 
     With `staging_path`, a folder on shared storage, transactions are scanned and shuffled
-    once for all grains, and the aggregates that feed several outputs are written there.
+    once for all grains, and what feeds several outputs is written there and read back.
     Without it nothing runs yet, and each output scans the transactions for itself.
     """
     bucketed = intraday_time_bucket(tx, settings.timezone, settings.granularity)
@@ -81,11 +88,15 @@ def monitoring_frames(
         top = top_of_totals(counterparty_and_day_grain(grains), settings.top_n)
         outflow = outflow_of_flows(counterparty_grain(grains))
 
+    intraday = flag_liquidity_drop_anomaly(build_intraday_snapshot(net), settings.z_threshold)
     utilization = limit_utilization(outflow, lim, settings.limit_warning, settings.limit_breach)
     if staging_path is not None:
-        utilization = stage(utilization, f"{run_path}/utilization")
+        intraday, top, utilization = run_together(
+            lambda: stage(intraday, f"{run_path}/intraday"),
+            lambda: stage(top, f"{run_path}/top"),
+            lambda: stage(utilization, f"{run_path}/utilization"),
+        )
 
-    intraday = flag_liquidity_drop_anomaly(build_intraday_snapshot(net), settings.z_threshold)
     daily = daily_snapshot(
         intraday,
         daily_limit_flags(utilization),
@@ -117,7 +128,12 @@ def run_monitoring(
     }
     inputs = [tables[n] for n in ("transactions", "cashflows", "balances", "collateral", "limits")]
 
-    write_parquet(dq_suite(*inputs, max_tx_rows=settings.max_tx_rows), f"{out_path}/dq_results")
+    checks = dq_suite(*inputs, max_tx_rows=settings.max_tx_rows)
     frames = monitoring_frames(*inputs, settings=settings, staging_path=staging_path)
-    for name, partitions in OUTPUT_PARTITIONS.items():
-        write_parquet_partitioned(frames[name], f"{out_path}/{name}", partitions)
+    run_together(
+        lambda: write_parquet(checks, f"{out_path}/dq_results"),
+        *[
+            partial(write_parquet_partitioned, frames[name], f"{out_path}/{name}", partitions)
+            for name, partitions in OUTPUT_PARTITIONS.items()
+        ],
+    )

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+T = TypeVar("T")
+
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Read a Parquet directory. With a schema, partition values keep their declared type
@@ -50,3 +55,13 @@ def stage(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> DataFrame
     """
     df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_together(*actions: Callable[[], T]) -> list[T]:
+    """Submit independent actions from threads of their own and return their results.
+
+    Small jobs then fill the executors the large ones leave idle. The first error is raised.
+    """
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(inheritable_thread_target(action)) for action in actions]
+        return [job.result() for job in running]

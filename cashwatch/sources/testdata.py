@@ -7,97 +7,100 @@ to one counterparty, CP000000, on purpose.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from cashwatch.functions.keys import padded_key
 from cashwatch.schemas import BALANCES, CASHFLOWS, COLLATERAL, LIMITS, TRANSACTIONS, conform
 
 HOT_COUNTERPARTY = "CP000000"
 
+# The columns read from each source table.
+_SOURCES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _day(key: Column) -> Column:
-    return F.date_add(F.lit("2024-01-01").cast("date"), (key % 30).cast("int"))
+def _day(key: str) -> str:
+    return f"date_add(DATE '2024-01-01', CAST({key} % 30 AS INT))"
 
 
-def _currency(even: Column) -> Column:
-    return F.when(even, "THB").otherwise("USD")
+def _currency(first: str) -> str:
+    return f"if({first}, 'THB', 'USD')"
 
 
-def _every_other(key: Column) -> Column:
-    return F.floor(key / 30) % 2 == 0
+def _padded(prefix: str, number: str, width: int = 6) -> str:
+    digits = f"CAST({number} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest(length({digits}), {width}), '0'))"
 
 
-def _counterparty(key: Column, hot: Column) -> Column:
-    return F.when(hot, HOT_COUNTERPARTY).otherwise(padded_key("CP", key + 1, 6))
+def _counterparty(number: str, hot: str) -> str:
+    return f"if({hot}, '{HOT_COUNTERPARTY}', {_padded('CP', f'({number} + 1)')})"
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events: purchases, views and sign-ups come in, clicks and errors go out."""
-    e = _table(spark, sf_dir, "events")
-    event_id = F.col("event_id")
-    frame = e.select(
-        event_id.alias("tx_id"),
-        F.col("ts").alias("event_ts"),
-        F.to_date("ts").alias("value_date"),
-        padded_key("A", F.col("user_id"), 6).alias("account_id"),
-        _counterparty(F.col("user_id"), event_id % 3 == 0).alias("counterparty_id"),
-        _currency(event_id % 2 == 0).alias("currency"),
-        F.when(F.col("event_type").isin("click", "error"), "OUT").otherwise("IN").alias("direction"),
-        F.col("value").alias("amount"),
-        F.col("event_type").alias("product"),
-        F.concat(F.lit("CH"), (event_id % 5).cast("string")).alias("channel"),
+    frame = _table(spark, sf_dir, "events").selectExpr(
+        "event_id AS tx_id",
+        "ts AS event_ts",
+        "CAST(ts AS DATE) AS value_date",
+        f"{_padded('A', 'user_id')} AS account_id",
+        f"{_counterparty('user_id', 'event_id % 3 = 0')} AS counterparty_id",
+        f"{_currency('event_id % 2 = 0')} AS currency",
+        "if(event_type IN ('click', 'error'), 'OUT', 'IN') AS direction",
+        "value AS amount",
+        "event_type AS product",
+        "concat('CH', event_id % 5) AS channel",
     )
     return conform(frame, TRANSACTIONS)
 
 
 def cashflows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items, as of the month they ship, maturing 10 days before to 110 days after."""
-    li = _table(spark, sf_dir, "lineitem")
-    days = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 121 - 10
-    as_of = F.trunc(F.to_date("l_shipdate"), "month")
-    frame = li.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("cf_id"),
-        as_of.alias("as_of_date"),
-        F.date_add(as_of, days.cast("int")).alias("maturity_date"),
-        padded_key("CP", F.col("l_suppkey"), 6).alias("counterparty_id"),
-        _currency(F.col("l_returnflag") != "R").alias("currency"),
-        F.when(F.col("l_linestatus") == "O", "IN").otherwise("OUT").alias("direction"),
-        F.col("l_extendedprice").alias("amount"),
-        F.lit("loan").alias("source"),
+    as_of = "trunc(CAST(l_shipdate AS DATE), 'month')"
+    days = "CAST((l_orderkey * 7 + l_linenumber) % 121 - 10 AS INT)"
+    frame = _table(spark, sf_dir, "lineitem").selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) AS cf_id",
+        f"{as_of} AS as_of_date",
+        f"date_add({as_of}, {days}) AS maturity_date",
+        f"{_padded('CP', 'l_suppkey')} AS counterparty_id",
+        f"""{_currency("l_returnflag <> 'R'")} AS currency""",
+        "if(l_linestatus = 'O', 'IN', 'OUT') AS direction",
+        "l_extendedprice AS amount",
+        "'loan' AS source",
     )
     return conform(frame, CASHFLOWS)
 
 
 def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, one balance each."""
-    c = _table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    frame = c.select(
-        _day(key).alias("as_of_date"),
-        padded_key("A", key, 6).alias("account_id"),
-        _currency(_every_other(key)).alias("currency"),
-        F.col("c_acctbal").alias("balance"),
-        F.col("c_mktsegment").alias("customer_segment"),
+    frame = _table(spark, sf_dir, "customer").selectExpr(
+        f"{_day('c_custkey')} AS as_of_date",
+        f"{_padded('A', 'c_custkey')} AS account_id",
+        f"{_currency('c_custkey div 30 % 2 = 0')} AS currency",
+        "c_acctbal AS balance",
+        "c_mktsegment AS customer_segment",
     )
     return conform(frame, BALANCES)
 
 
 def collateral(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts; every fifth is not eligible, which leaves some days with none at all."""
-    p = _table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    frame = p.select(
-        _day(key).alias("as_of_date"),
-        padded_key("COL", key, 8).alias("collateral_id"),
-        padded_key("CP", key % 1000, 6).alias("counterparty_id"),
-        _currency(_every_other(key)).alias("currency"),
-        F.col("p_retailprice").alias("market_value"),
-        (F.col("p_size") % 21 / 100).alias("haircut_pct"),
-        F.when(key % 5 == 0, 0).otherwise(1).alias("eligible_lcr"),
+    frame = _table(spark, sf_dir, "part").selectExpr(
+        f"{_day('p_partkey')} AS as_of_date",
+        f"{_padded('COL', 'p_partkey', 8)} AS collateral_id",
+        f"{_padded('CP', '(p_partkey % 1000)')} AS counterparty_id",
+        f"{_currency('p_partkey div 30 % 2 = 0')} AS currency",
+        "p_retailprice AS market_value",
+        "p_size % 21 / 100 AS haircut_pct",
+        "if(p_partkey % 5 = 0, 0, 1) AS eligible_lcr",
     )
     return conform(frame, COLLATERAL)
 
@@ -105,17 +108,12 @@ def collateral(spark: SparkSession, sf_dir: str) -> DataFrame:
 def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order value per day, counterparty, currency and limit type, scaled to the outflows.
     Many counterparties have no settlement limit on a day."""
-    o = _table(spark, sf_dir, "orders")
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    kind = F.floor(key / 60) % 3
-    keyed = o.select(
-        _day(key).alias("as_of_date"),
-        _counterparty(F.floor(customer / 10), customer % 10 == 0).alias("counterparty_id"),
-        F.when(kind == 0, "intraday").when(kind == 1, "settlement").otherwise("credit").alias("limit_type"),
-        _currency(_every_other(key)).alias("currency"),
-        F.col("o_totalprice"),
-    )
-    frame = keyed.groupBy("as_of_date", "counterparty_id", "limit_type", "currency").agg(
-        (F.sum("o_totalprice") * 0.0004 + 200).alias("limit_amount")
+    keyed = _table(spark, sf_dir, "orders").selectExpr(
+        f"{_day('o_orderkey')} AS as_of_date",
+        f"{_counterparty('o_custkey div 10', 'o_custkey % 10 = 0')} AS counterparty_id",
+        "element_at(array('intraday', 'settlement', 'credit'), CAST(o_orderkey div 60 % 3 AS INT) + 1) AS limit_type",
+        f"{_currency('o_orderkey div 30 % 2 = 0')} AS currency",
+        "o_totalprice",
     )
-    return conform(frame, LIMITS)
+    totals = keyed.groupBy("as_of_date", "counterparty_id", "limit_type", "currency").sum("o_totalprice")
+    return conform(totals.selectExpr("*", "`sum(o_totalprice)` * 0.0004D + 200 AS limit_amount"), LIMITS)

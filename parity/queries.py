@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -480,8 +481,12 @@ def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
     base = scratch_dir(spark)
     raw, out = f"{base}/raw", f"{base}/out"
     named = dict(zip(("transactions", "cashflows", "balances", "collateral", "limits"), _inputs(spark, d)))
-    for name, (_, partition) in INPUT_TABLES.items():
-        tables.write_parquet_partitioned(named[name], f"{raw}/{name}", [partition])
+    tables.run_together(
+        *[
+            partial(tables.write_parquet_partitioned, named[name], f"{raw}/{name}", [partition])
+            for name, (_, partition) in INPUT_TABLES.items()
+        ]
+    )
     run_monitoring(spark, raw, out, f"{base}/staging", SETTINGS)
     written = None
     for name in ["dq_results", *OUTPUT_PARTITIONS]:
