@@ -46,6 +46,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cashwatch-bench-"))
         .getOrCreate()
     )

@@ -1,8 +1,9 @@
 """All transaction aggregates in one pass.
 
 The monitoring outputs need transactions summed by bucket, by counterparty and by day.
-Grouping sets give every grain from one scan and one shuffle of partial sums; the frame
-is meant to be staged once (see `cashwatch.sources.tables.stage`) and read per grain.
+Grouping sets give the first two from one scan and one shuffle of partial sums, and the
+days follow from the buckets. The frame is meant to be staged once (see
+`cashwatch.sources.tables.stage`) and read per grain.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from cashwatch.operators.flows import flow_totals
 
 BUCKET = "bucket"
 COUNTERPARTY = "counterparty"
-DAY = "day"
 
 _DAY_KEYS = ["value_date", "currency"]
 
@@ -31,16 +31,12 @@ def counterparty_totals() -> list[Column]:
 
 
 def transaction_grains(df_tx_bucketed: DataFrame) -> DataFrame:
-    """Bucket, counterparty and day sums of bucketed transactions, told apart by `grain`."""
+    """Bucket sums and counterparty sums of bucketed transactions, told apart by `grain`."""
     bucket, counterparty = F.col("bucket_start_ts"), F.col("counterparty_id")
     keys = [F.col(k) for k in _DAY_KEYS]
-    grain = (
-        F.when(F.grouping("bucket_start_ts") == 0, F.lit(BUCKET))
-        .when(F.grouping("counterparty_id") == 0, F.lit(COUNTERPARTY))
-        .otherwise(F.lit(DAY))
-    )
+    grain = F.when(F.grouping("counterparty_id") == 1, BUCKET).otherwise(COUNTERPARTY)
     return df_tx_bucketed.groupingSets(
-        [[*keys, bucket], [*keys, counterparty], keys], *keys, bucket, counterparty
+        [[*keys, bucket], [*keys, counterparty]], *keys, bucket, counterparty
     ).agg(grain.alias("grain"), *flow_totals("tx_count"), *counterparty_totals())
 
 
@@ -58,12 +54,18 @@ def counterparty_grain(df_grains: DataFrame) -> DataFrame:
     )
 
 
-def counterparty_and_day_grain(df_grains: DataFrame) -> DataFrame:
-    """Counterparty rows plus one total row per day, as `top_of_totals` takes them."""
-    return df_grains.filter(F.col("grain").isin(COUNTERPARTY, DAY)).select(
-        *_DAY_KEYS,
-        "counterparty_id",
-        (F.col("grain") == DAY).alias("is_total"),
-        "cp_net_flow",
-        "cp_gross_flow",
+def counterparty_grain_with_day_total(df_grains: DataFrame) -> DataFrame:
+    """Counterparty rows plus one total row per day, as `top_of_totals` takes them.
+
+    The totals come from the bucket rows, of which a day has few.
+    """
+    flows = ["cp_net_flow", "cp_gross_flow"]
+    members = df_grains.filter(F.col("grain") == COUNTERPARTY).select(
+        *_DAY_KEYS, "counterparty_id", F.lit(False).alias("is_total"), *flows
+    )
+    totals = (
+        df_grains.filter(F.col("grain") == BUCKET)
+        .groupBy(*_DAY_KEYS)
+        .agg(F.lit(True).alias("is_total"), *[F.sum(c).alias(c) for c in flows])
     )
+    return members.unionByName(totals, allowMissingColumns=True)

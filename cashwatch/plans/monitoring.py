@@ -18,8 +18,8 @@ from cashwatch.operators.counterparties import (
 from cashwatch.operators.flows import intraday_time_bucket, maturity_ladder, net_cashflow_by_bucket
 from cashwatch.operators.grains import (
     bucket_grain,
-    counterparty_and_day_grain,
     counterparty_grain,
+    counterparty_grain_with_day_total,
     transaction_grains,
 )
 from cashwatch.operators.intraday import build_intraday_snapshot, flag_liquidity_drop_anomaly
@@ -85,13 +85,14 @@ def monitoring_frames(
         run_path = f"{staging_path.rstrip('/')}/monitoring-{uuid4().hex}"
         grains = stage(transaction_grains(bucketed), f"{run_path}/grains", ["grain"])
         net = bucket_grain(grains)
-        top = top_of_totals(counterparty_and_day_grain(grains), settings.top_n)
+        top = top_of_totals(counterparty_grain_with_day_total(grains), settings.top_n)
         outflow = outflow_of_flows(counterparty_grain(grains))
 
     intraday = flag_liquidity_drop_anomaly(build_intraday_snapshot(net), settings.z_threshold)
     utilization = limit_utilization(outflow, lim, settings.limit_warning, settings.limit_breach)
     if staging_path is not None:
         intraday, top, utilization = run_together(
+            tx.sparkSession,
             lambda: stage(intraday, f"{run_path}/intraday"),
             lambda: stage(top, f"{run_path}/top"),
             lambda: stage(utilization, f"{run_path}/utilization"),
@@ -131,6 +132,7 @@ def run_monitoring(
     checks = dq_suite(*inputs, max_tx_rows=settings.max_tx_rows)
     frames = monitoring_frames(*inputs, settings=settings, staging_path=staging_path)
     run_together(
+        spark,
         lambda: write_parquet(checks, f"{out_path}/dq_results"),
         *[
             partial(write_parquet_partitioned, frames[name], f"{out_path}/{name}", partitions)

@@ -57,11 +57,12 @@ def stage(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def run_together(*actions: Callable[[], T]) -> list[T]:
+def run_together(spark: SparkSession, *actions: Callable[[], T]) -> list[T]:
     """Submit independent actions from threads of their own and return their results.
 
     Small jobs then fill the executors the large ones leave idle. The first error is raised.
     """
+    in_thread = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(actions)) as pool:
-        running = [pool.submit(inheritable_thread_target(action)) for action in actions]
+        running = [pool.submit(in_thread(action)) for action in actions]
         return [job.result() for job in running]

@@ -312,14 +312,13 @@ _SELECTS = {
         SELECT grain, value_date, currency, bucket_start_ts, counterparty_id,
                {_money("net_cashflow", "inflow", "outflow")}, tx_count, {_money("cp_gross_flow")}, cp_out_count
         FROM (SELECT CASE WHEN grouping(bucket_start_ts) = 0 THEN 'bucket'
-                          WHEN grouping(counterparty_id) = 0 THEN 'counterparty' ELSE 'day' END AS grain,
+                          ELSE 'counterparty' END AS grain,
                      value_date, currency, bucket_start_ts, counterparty_id, sum(signed_amount) AS net_cashflow,
                      sum(CASE WHEN direction = 'IN' THEN amount ELSE 0 END) AS inflow,
                      sum(CASE WHEN direction = 'OUT' THEN amount ELSE 0 END) AS outflow, count(*) AS tx_count,
                      sum(abs(signed_amount)) AS cp_gross_flow, count(*) FILTER (direction = 'OUT') AS cp_out_count
               FROM txb
-              GROUP BY GROUPING SETS ((value_date, currency, bucket_start_ts), (value_date, currency, counterparty_id),
-                                      (value_date, currency)))""",
+              GROUP BY GROUPING SETS ((value_date, currency, bucket_start_ts), (value_date, currency, counterparty_id)))""",
     "dq_nulls": _nulls(_DQ_NULLED, ["tx_id", "counterparty_id", "channel"], "tx_some_nulls")
     + " UNION ALL "
     + _nulls(_DQ_NULLED, ["tx_id", "amount"], "tx_no_nulls"),

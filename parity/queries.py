@@ -482,6 +482,7 @@ def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
     raw, out = f"{base}/raw", f"{base}/out"
     named = dict(zip(("transactions", "cashflows", "balances", "collateral", "limits"), _inputs(spark, d)))
     tables.run_together(
+        spark,
         *[
             partial(tables.write_parquet_partitioned, named[name], f"{raw}/{name}", [partition])
             for name, (_, partition) in INPUT_TABLES.items()
