@@ -51,7 +51,8 @@ class Settings:
     max_tx_rows: int = 10_000_000
 
 
-# Output tables and the columns they are partitioned by.
+# Output tables and the columns they are partitioned by. All but the
+# utilization, which has a row per counterparty, have a bounded number of rows in a partition.
 OUTPUT_PARTITIONS = {
     "intraday_snapshots": ["value_date", "currency"],
     "daily_snapshots": ["value_date"],
@@ -135,7 +136,13 @@ def run_monitoring(
         spark,
         lambda: write_parquet(checks, f"{out_path}/dq_results"),
         *[
-            partial(write_parquet_partitioned, frames[name], f"{out_path}/{name}", partitions)
+            partial(
+                write_parquet_partitioned,
+                frames[name],
+                f"{out_path}/{name}",
+                partitions,
+                small_groups=name != "limit_utilization",
+            )
             for name, partitions in OUTPUT_PARTITIONS.items()
         ],
     )

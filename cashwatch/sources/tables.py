@@ -20,15 +20,24 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def write_parquet_partitioned(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def write_parquet_partitioned(
+    df: DataFrame, path: str, partitions: Sequence[str], small_groups: bool = False
+) -> None:
     """Replace the partitions present in `df`, leaving all others as they are.
 
-    The rebalance hint gathers a partition's rows into few files and, under adaptive
-    execution, splits a partition that is too large over several tasks.
+    Rows are gathered by partition first, so that each gets few files. By default adaptive
+    execution then sizes the tasks by bytes: it splits a partition that is too large and
+    merges small ones. `small_groups` is for results with a bounded number of rows in every
+    partition, where the files and not the bytes are the work: partitions are spread evenly
+    over `spark.sql.shuffle.partitions` tasks and not merged.
     """
+    if small_groups:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        gathered = df.repartition(tasks, *partitions)
+    else:
+        gathered = df.hint("rebalance", *partitions)
     (
-        df.hint("rebalance", *partitions)
-        .write.mode("overwrite")
+        gathered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)

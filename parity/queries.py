@@ -468,9 +468,9 @@ def partitioned_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Write all days of the bucket flows, write one day again with doubled inflow, read back."""
     path = f"{scratch_dir(spark)}/net"
     net = _net(spark, d)
-    tables.write_parquet_partitioned(net, path, DAY)
+    tables.write_parquet_partitioned(net, path, DAY, small_groups=True)
     again = net.filter(F.col("value_date") == F.lit(date(2024, 1, 15))).withColumn("inflow", F.col("inflow") * 2)
-    tables.write_parquet_partitioned(again, path, DAY)
+    tables.write_parquet_partitioned(again, path, DAY, small_groups=True)
     return tables.read_parquet(spark, path, net.schema).select(
         *DAY, moment("bucket_start_ts"), money("inflow"), money("outflow"), "tx_count"
     )

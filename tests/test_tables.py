@@ -19,11 +19,12 @@ D1, D2 = date(2026, 1, 23), date(2026, 1, 24)
 SCHEMA = "value_date date, currency string, v double"
 
 
-def test_only_the_written_partitions_are_replaced(spark, tmp_path):
-    path = str(tmp_path / "t")
+@pytest.mark.parametrize("small_groups", [False, True])
+def test_only_the_written_partitions_are_replaced(spark, tmp_path, small_groups):
+    path, keys = str(tmp_path / "t"), ["value_date", "currency"]
     rows = [(D1, "THB", 1.0), (D1, "USD", 2.0), (D2, "THB", 3.0)]
-    write_parquet_partitioned(spark.createDataFrame(rows, SCHEMA), path, ["value_date", "currency"])
-    write_parquet_partitioned(spark.createDataFrame([(D1, "THB", 9.0)], SCHEMA), path, ["value_date", "currency"])
+    write_parquet_partitioned(spark.createDataFrame(rows, SCHEMA), path, keys, small_groups)
+    write_parquet_partitioned(spark.createDataFrame([(D1, "THB", 9.0)], SCHEMA), path, keys, small_groups)
     got = {(r.value_date, r.currency, r.v) for r in read_parquet(spark, path).collect()}
     assert got == {(D1, "THB", 9.0), (D1, "USD", 2.0), (D2, "THB", 3.0)}
 
@@ -44,6 +45,16 @@ def test_partition_filters_reach_the_scan(spark, tmp_path, plan):
     assert "PartitionFilters: [isnotnull(value_date" in scan and "ReadSchema: struct<v:double>" in scan
 
 
+def test_a_large_partition_is_split_and_small_groups_are_one_file_each(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    big = spark.range(200_000).select(F.lit("USD").alias("currency"), F.rand(1).alias("v"))
+    write_parquet_partitioned(big, str(tmp_path / "big"), ["currency"])
+    assert len(list((tmp_path / "big" / "currency=USD").glob("*.parquet"))) > 1
+    small = spark.range(1000).select((F.col("id") % 20).alias("g"), "id").repartition(7)
+    write_parquet_partitioned(small, str(tmp_path / "small"), ["g"], small_groups=True)
+    assert len(list((tmp_path / "small").glob("g=*/*.parquet"))) == 20
+
+
 def test_unpartitioned_table_is_replaced(spark, tmp_path):
     path = str(tmp_path / "t")
     for v in (1.0, 2.0):
