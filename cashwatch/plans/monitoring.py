@@ -31,6 +31,7 @@ from cashwatch.schemas import INPUT_TABLES
 from cashwatch.sources.tables import (
     read_parquet,
     run_together,
+    shared_folder,
     stage,
     write_parquet,
     write_parquet_partitioned,
@@ -118,31 +119,29 @@ def run_monitoring(
     spark: SparkSession,
     raw_path: str,
     out_path: str,
-    staging_path: str,
     settings: Settings = Settings(),
+    staging_path: str | None = None,
 ) -> None:
     """Read the input tables under `raw_path`, write `dq_results` and the five outputs.
 
-    Only the dates present in the input are replaced, so a day can be run again.
+    Only the dates present in the input are replaced, so a day can be run again. Staged
+    tables go to a new folder under `staging_path` or else under the session's checkpoint
+    folder, and stay there; how long to keep them is up to the owner of that folder.
     """
+    staging_path = staging_path or shared_folder(spark)
     tables = {
         name: read_parquet(spark, f"{raw_path}/{name}", schema) for name, (schema, _) in INPUT_TABLES.items()
     }
     inputs = [tables[n] for n in ("transactions", "cashflows", "balances", "collateral", "limits")]
 
     checks = dq_suite(*inputs, max_tx_rows=settings.max_tx_rows)
-    frames = monitoring_frames(*inputs, settings=settings, staging_path=staging_path)
-    run_together(
-        spark,
-        lambda: write_parquet(checks, f"{out_path}/dq_results"),
-        *[
-            partial(
-                write_parquet_partitioned,
-                frames[name],
-                f"{out_path}/{name}",
-                partitions,
-                small_groups=name != "limit_utilization",
-            )
-            for name, partitions in OUTPUT_PARTITIONS.items()
-        ],
-    )
+
+    def write(frames: dict[str, DataFrame], name: str) -> None:
+        bounded = name != "limit_utilization"
+        write_parquet_partitioned(frames[name], f"{out_path}/{name}", OUTPUT_PARTITIONS[name], bounded)
+
+    def write_frames() -> None:
+        frames = monitoring_frames(*inputs, settings=settings, staging_path=staging_path)
+        run_together(spark, *[partial(write, frames, name) for name in frames])
+
+    run_together(spark, lambda: write_parquet(checks, f"{out_path}/dq_results"), write_frames)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,14 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int
     writer.options(**options).saveAsTable(table)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name under the session's checkpoint folder, which all executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/cashwatch-{uuid4().hex}"
+
+
 def stage(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> DataFrame:
     """Write `df` once and go on from the written table.
 

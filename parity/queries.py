@@ -35,10 +35,12 @@ BUCKET = [*DAY, "bucket_start_ts"]
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the session's checkpoint folder, or a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = base or tempfile.mkdtemp(prefix="cashwatch-")
-    return f"{base.rstrip('/')}/cashwatch-{uuid4().hex}"
+    """A new folder under the session's checkpoint folder, which is set here only if unset."""
+    try:
+        return tables.shared_folder(spark)
+    except ValueError:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cashwatch-"))
+        return tables.shared_folder(spark)
 
 
 def money(name: str) -> Column:
@@ -488,7 +490,7 @@ def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
             for name, (_, partition) in INPUT_TABLES.items()
         ]
     )
-    run_monitoring(spark, raw, out, f"{base}/staging", SETTINGS)
+    run_monitoring(spark, raw, out, SETTINGS)
     written = None
     for name in ["dq_results", *OUTPUT_PARTITIONS]:
         rows = tables.read_parquet(spark, f"{out}/{name}").agg(F.count("*").alias("row_count"))

@@ -81,7 +81,7 @@ def test_run_writes_every_output_and_can_run_a_day_again(spark, inputs, tmp_path
             one = one.withColumn("amount", F.col("amount") * 2)
         one.write.partitionBy(partition).parquet(f"{again}/{name}")
 
-    run_monitoring(spark, raw, out, str(tmp_path / "staging"), SETTINGS)
+    run_monitoring(spark, raw, out, SETTINGS)
     assert spark.read.parquet(f"{out}/dq_results").count() == 11
     lazy = monitoring_frames(*inputs, settings=SETTINGS)
     before = {}
@@ -95,7 +95,7 @@ def test_run_writes_every_output_and_can_run_a_day_again(spark, inputs, tmp_path
         return {r.value_date: r.s for r in sums}
 
     first = totals()
-    run_monitoring(spark, again, out, str(tmp_path / "staging"), SETTINGS)
+    run_monitoring(spark, again, out, SETTINGS, str(tmp_path / "staging"))
     second = totals()
     assert second.pop(day) == pytest.approx(2 * first.pop(day))
     assert second == first
