@@ -101,7 +101,7 @@ def _best_rows(df: DataFrame, limit: int) -> DataFrame:
 
     group = [*_DAY_KEYS, "_class"]
     threshold = int(df.sparkSession.conf.get(_LIMIT_CONF, "1000"))
-    if limit >= threshold:
+    if limit > threshold:
         # Beyond the threshold the engine stops limiting rows before the shuffle, so a
         # salted window does it: every counterparty is in one salt, no row is lost.
         salted = classed.withColumn("_salt", F.pmod(F.xxhash64("counterparty_id"), F.lit(_SALTS)))

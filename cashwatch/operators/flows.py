@@ -11,7 +11,7 @@ from cashwatch.functions.amounts import (
     maturity_bucket_expr,
     signed_amount,
 )
-from cashwatch.functions.buckets import bucket_start
+from cashwatch.functions.buckets import GRANULARITIES, bucket_start
 
 
 def intraday_time_bucket(df_tx: DataFrame, timezone: str | None = None, granularity: str = "hour") -> DataFrame:
@@ -21,8 +21,8 @@ def intraday_time_bucket(df_tx: DataFrame, timezone: str | None = None, granular
 
 def with_bucket_end(df: DataFrame, granularity: str = "hour") -> DataFrame:
     """Add `bucket_end_ts`, the exclusive end of the bucket."""
-    length = {"hour": "1 HOUR", "30min": "30 MINUTES", "minute": "1 MINUTE"}[granularity]
-    return df.withColumn("bucket_end_ts", F.col("bucket_start_ts") + F.expr(f"INTERVAL {length}"))
+    length = F.expr(f"INTERVAL {GRANULARITIES[granularity]} SECONDS")
+    return df.withColumn("bucket_end_ts", F.col("bucket_start_ts") + length)
 
 
 def flow_totals(count_name: str) -> list[Column]:

@@ -12,10 +12,11 @@ def calendar_spine(df_keys: DataFrame, start: date, days: int, name: str = "valu
     """Repeat each row of `df_keys` for `days` dates from `start` forward.
 
     The dates are an array exploded in place, so there is no join and no shuffle, and the
-    keys keep their partitioning.
+    keys keep their partitioning. No days give no rows.
     """
     first = F.lit(start)
-    dates = F.sequence(first, F.date_add(first, days - 1))
+    # A sequence to an earlier date would run backwards.
+    dates = F.sequence(first, F.date_add(first, days - 1)) if days > 0 else F.array().cast("array<date>")
     return df_keys.select(F.explode(dates).alias(name), *df_keys.columns)
 
 

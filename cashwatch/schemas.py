@@ -88,4 +88,4 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     Nullability is left alone: it does not survive a Parquet round trip, and the
     quality checks report NULLs as data.
     """
-    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])

@@ -95,7 +95,10 @@ def test_repeated_hours_of_a_clock_change_stay_apart(spark):
     assert [b["bucket_start_ts"] for b in buckets] == [datetime(2026, 11, 1, 5), datetime(2026, 11, 1, 6)]
 
 
-CASHFLOW = "cf_id string, as_of_date date, maturity_date date, counterparty_id string, currency string, direction string, amount double, source string"
+CASHFLOW = (
+    "cf_id string, as_of_date date, maturity_date date, counterparty_id string, currency string, "
+    "direction string, amount double, source string"
+)
 
 
 def test_maturity_bucket_edges(spark):

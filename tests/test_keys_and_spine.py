@@ -64,6 +64,7 @@ def test_spine_runs_forward_without_a_join(spark, plan):
     assert grid.columns == ["value_date", "account_id", "currency"]
     rows = {tuple(r) for r in grid.collect()}
     assert rows == {(DAY + timedelta(days=n), a, c) for n in range(3) for a in ("A1", "A2") for c in ("THB", "USD")}
+    assert calendar_spine(keys, DAY, 0).count() == 0
     text = plan(grid)
     assert "Exchange" not in text and "Join" not in text and "Cartesian" not in text
 

@@ -82,7 +82,10 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, plan, conf):
 
 
 def test_conform_orders_and_casts(spark):
-    raw = spark.sql("SELECT 'x' AS customer_segment, '7.5' AS balance, 'THB' AS currency, 1 AS account_id, '2026-01-23' AS as_of_date, 0 AS extra")
+    raw = spark.sql(
+        "SELECT 'x' AS customer_segment, '7.5' AS balance, 'THB' AS currency, 1 AS account_id, "
+        "'2026-01-23' AS as_of_date, 0 AS extra"
+    )
     got = conform(raw, BALANCES)
     assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in BALANCES]
     assert tuple(got.first()) == (D1, "1", "THB", 7.5, "x")
