@@ -351,6 +351,35 @@ _SELECTS = {
 }
 
 
+_NO_DATES = {
+    "signed_amounts",
+    "hour_bucket",
+    "fine_buckets",
+    "zoned_bucket",
+    "dq_nulls",
+    "dq_duplicates",
+    "dq_rowcount",
+    "dq_suite",
+    "padded_keys",
+    "monitoring_run",
+}
+_OTHER_DATES = {
+    "cashflows_table": ["as_of_date", "maturity_date"],
+    "balances_table": ["as_of_date"],
+    "collateral_table": ["as_of_date"],
+    "limits_table": ["as_of_date"],
+    "maturity_bucket": ["as_of_date", "maturity_date"],
+    "maturity_ladder": ["as_of_date"],
+    "maturity_ladder_sorted": ["as_of_date"],
+}
+
+
+def _dates_as_text(name: str, select: str) -> str:
+    if name in _NO_DATES:
+        return select
+    return f"SELECT * REPLACE ({_text(*_OTHER_DATES.get(name, ['value_date']))}) FROM ({select})"
+
+
 def oracle_sql() -> dict[str, str]:
     common = ",\n".join(f"{name} AS ({body})" for name, body in _COMMON.items())
-    return {name: f"WITH {common}\n{select}" for name, select in _SELECTS.items()}
+    return {name: f"WITH {common}\n{_dates_as_text(name, select)}" for name, select in _SELECTS.items()}

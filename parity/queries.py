@@ -1,7 +1,7 @@
 """One query per operator, each over whole tables.
 
-Money is rounded to cents, ratios to six places and flags are shown as text, so that the
-rows compare equal across engines.
+Money is rounded to cents, ratios to six places, and flags and dates are shown as text, so
+that the rows compare equal across engines.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, wraps
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -499,8 +499,21 @@ def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
     return written
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _dates_as_text(query: Query) -> Query:
+    @wraps(query)
+    def shown(spark: SparkSession, d: str) -> DataFrame:
+        df = query(spark, d)
+        dates = [f.name for f in df.schema if f.dataType.typeName() == "date"]
+        return df.withColumns({name: text(name) for name in dates}) if dates else df
+
+    return shown
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: _dates_as_text(f)
     for f in (
         transactions_table,
         cashflows_table,
