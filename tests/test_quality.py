@@ -65,6 +65,15 @@ def test_two_checks_from_one_scan(df):
     ]
 
 
+def test_counts_can_come_from_file_statistics(spark, df, conf, plan, tmp_path):
+    df.write.parquet(str(tmp_path / "t"))
+    conf("spark.sql.sources.useV1SourceList", "")
+    conf("spark.sql.parquet.aggregatePushdown", "true")
+    check = check_nulls_and_rowcount(spark.read.parquet(str(tmp_path / "t")), ["k", "s"], "nulls", 1, 9, "rows")
+    assert "PushedAggregation: [COUNT(*), COUNT(k), COUNT(s)]" in plan(check)
+    assert [r.details for r in check.collect()] == ["null_counts={'k': 2, 's': 1}", "rowcount=6, expected=[1,9]"]
+
+
 def test_suite_on_empty_tables(spark):
     tables = [spark.createDataFrame([], s) for s in (TRANSACTIONS, CASHFLOWS, BALANCES, COLLATERAL, LIMITS)]
     got = {r.check_name: (r.passed, r.details) for r in dq_suite(*tables).collect()}
