@@ -342,12 +342,15 @@ _SELECTS = {
                round(outflow, 2) + 0.0 AS outflow, tx_count
         FROM net""",
     "monitoring_run": f"""
-        SELECT 'dq_results' AS output, CAST(11 AS BIGINT) AS row_count
-        UNION ALL SELECT 'intraday_snapshots', count(*) FROM flagged
-        UNION ALL SELECT 'daily_snapshots', count(*) FROM daily
-        UNION ALL SELECT 'concentration_top_counterparties', count(*) FROM ranked WHERE cp_rank <= {TOP_N}
-        UNION ALL SELECT 'maturity_ladder', count(*) FROM ladder
-        UNION ALL SELECT 'limit_utilization', count(*) FROM util""",
+        SELECT 'dq_results' AS output, count(*) AS row_count,
+               round(sum(CASE WHEN passed = 'true' THEN 1.0::DOUBLE ELSE 0 END), 2) AS measure_sum
+        FROM ({" UNION ALL ".join(_DQ_SUITE)})
+        UNION ALL SELECT 'intraday_snapshots', count(*), round(sum(cum_net_cashflow), 2) FROM flagged
+        UNION ALL SELECT 'daily_snapshots', count(*), round(sum(eod_cum_net_cashflow), 2) FROM daily
+        UNION ALL SELECT 'concentration_top_counterparties', count(*), round(sum(cp_gross_flow), 2)
+                  FROM ranked WHERE cp_rank <= {TOP_N}
+        UNION ALL SELECT 'maturity_ladder', count(*), round(sum(net_cashflow), 2) FROM ladder
+        UNION ALL SELECT 'limit_utilization', count(*), round(sum(cp_outflow), 2) FROM util""",
 }
 
 

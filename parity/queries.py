@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 from datetime import date
-from functools import partial, wraps
+from functools import partial, reduce, wraps
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,7 +18,7 @@ from cashwatch.functions.amounts import maturity_bucket_expr, signed_amount
 from cashwatch.functions.keys import hash_assign, hash_choice, hash_skewed, hash_uniform, padded_key
 from cashwatch.operators import counterparties, flows, grains, intraday, limits, liquidity, quality, spine
 from cashwatch.plans.daily import with_anomaly_flags
-from cashwatch.plans.monitoring import OUTPUT_PARTITIONS, Settings, monitoring_frames, run_monitoring
+from cashwatch.plans.monitoring import Settings, monitoring_frames, run_monitoring
 from cashwatch.schemas import INPUT_TABLES
 from cashwatch.sources import tables, testdata
 
@@ -479,7 +479,7 @@ def partitioned_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
-    """Write the five input tables, run the whole job on them, count what it wrote."""
+    """Write the five input tables, run the whole job on them, count and sum what it wrote."""
     base = scratch_dir(spark)
     raw, out = f"{base}/raw", f"{base}/out"
     named = dict(zip(("transactions", "cashflows", "balances", "collateral", "limits"), _inputs(spark, d)))
@@ -491,12 +491,23 @@ def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
         ]
     )
     run_monitoring(spark, raw, out, SETTINGS)
-    written = None
-    for name in ["dq_results", *OUTPUT_PARTITIONS]:
-        rows = tables.read_parquet(spark, f"{out}/{name}").agg(F.count("*").alias("row_count"))
-        rows = rows.select(F.lit(name).alias("output"), "row_count")
-        written = rows if written is None else written.unionByName(rows)
-    return written
+    measures = {
+        "dq_results": F.col("passed").cast("double"),
+        "intraday_snapshots": F.col("cum_net_cashflow"),
+        "daily_snapshots": F.col("eod_cum_net_cashflow"),
+        "concentration_top_counterparties": F.col("cp_gross_flow"),
+        "maturity_ladder": F.col("net_cashflow"),
+        "limit_utilization": F.col("cp_outflow"),
+    }
+    written = [
+        tables.read_parquet(spark, f"{out}/{name}").agg(
+            F.lit(name).alias("output"),
+            F.count("*").alias("row_count"),
+            F.round(F.sum(measure), 2).alias("measure_sum"),
+        )
+        for name, measure in measures.items()
+    ]
+    return reduce(DataFrame.unionByName, written)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
