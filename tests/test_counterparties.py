@@ -108,6 +108,15 @@ def test_ties_go_to_the_smaller_id(spark):
     assert got[0]["topN_share"] == pytest.approx(2 / 3)
 
 
+def test_decimal_amounts_tie_exactly(spark):
+    """0.1 + 0.2 is not 0.3 in doubles; with decimals the two counterparties tie."""
+    rows = [(at(10), "CP1", "IN", 0.3), (at(10), "CP2", "IN", 0.1), (at(10), "CP2", "OUT", 0.2)]
+    tx = transactions(spark, rows).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    got = dicts(concentration_top_counterparties(tx, 2), "cp_rank")
+    assert [(r["counterparty_id"], r["cp_share"]) for r in got] == [("CP1", 0.5), ("CP2", 0.5)]
+    assert str(got[0]["total_gross_flow"]) == "0.60"
+
+
 def test_a_zero_total_ranks_by_id_even_with_null_amounts(spark):
     tx = transactions(spark, [(at(10), "CP1", "IN", None), (at(10), "CP2", "IN", 0.0), (at(10), "CP3", "IN", 0.0)])
     got = dicts(concentration_top_counterparties(tx, 2), "cp_rank")
