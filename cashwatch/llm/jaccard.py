@@ -1,8 +1,9 @@
 """N-gram Jaccard join with signature trees.
 
 Documents are sets of hashed word shingles. Two sets of Jaccard similarity t share a token
-among the first (1 - t) part of each, under any one order of tokens; rare tokens come first,
-so that shared passages do not bring documents together. How frequent a token is comes from
+among the first (1 - t) part of each, under any one order of tokens, and one more for each token
+that this part is lengthened by; rare tokens come first, so that shared passages do not bring
+documents together. How frequent a token is comes from
 a count sketch of fixed size over all documents.
 
 Documents meet in blocks by such a token. In a block a signature tree is built: documents in
@@ -32,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cashwatch.llm.common import staged, text_portions
 from cashwatch.llm.components import connected_components
@@ -54,9 +55,14 @@ class Rule:
     words: int = 5
     percent: int = 80
 
-    def early(self, size: np.ndarray) -> np.ndarray:
-        """How many first tokens of a set must hold a common one."""
-        return size - (self.percent * size + 99) // 100 + 1
+    def shared(self, size):
+        """How many of their early tokens two linked sets share, the smaller one of this size."""
+        return 1 + size // 20
+
+    def early(self, size):
+        """How many first tokens of a set are early: those beyond the part that a linked set
+        must hold, and one for each token to be shared."""
+        return size - (self.percent * size + 99) // 100 + self.shared(size)
 
     def least_overlap(self, sizes: np.ndarray) -> np.ndarray:
         """The overlap that two sets with these summed sizes need: 100 o >= p (sum - o)."""
@@ -102,13 +108,13 @@ def _set_ids(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def pack(tokens: np.ndarray) -> bytes:
-    """The upper six bytes of each token, in order."""
-    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+    """The upper five bytes of each token, in order."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
 
 
 def unpack(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // 6, 8), np.uint8)
-    out[:, 2:] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(packed) // 5, 8), np.uint8)
+    out[:, 3:] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
     return np.unique(out.view("<u8").ravel())
 
 
@@ -244,19 +250,37 @@ def _repeated(early: DataFrame) -> DataFrame:
     return staged(together.mapInArrow(keep, "token bigint, c bigint, n int"), "tokens")
 
 
+def _enough(rule: Rule) -> Column:
+    """How many early tokens a set of `n` shares with any linked one, which may be smaller."""
+    least_partner = F.expr(f"(n * {rule.percent} + 99) div 100")
+    return F.lit(1) + F.floor(least_partner / F.lit(20.0))
+
+
+def _with_partners(tokens: DataFrame, rule: Rule) -> DataFrame:
+    """Rows of sets that have as many repeated early tokens as any link of theirs shares, of
+    tokens that two such sets hold. A partner has at least the rule's part of a set's size."""
+    enough = _enough(rule)
+    for _ in range(2):
+        fit = tokens.groupBy("c", "n").agg(F.count("*").alias("held")).filter(F.col("held") >= enough).select("c")
+        tokens = tokens.join(fit, "c", "left_semi")
+        again = tokens.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+        tokens = tokens.join(again.filter("low <> high").select("token"), "token", "left_semi")
+    return staged(tokens.select("token", "c", "n"), "partners")
+
+
 # Signature trees ---------------------------------------------------------------------------
 
 
 def signature(tokens: np.ndarray, bits: int) -> np.ndarray:
     """Bitmap of the tokens' places among `bits` (a power of two), as bytes."""
     out = np.zeros(bits, bool)
-    out[(tokens >> np.uint64(16)).astype(np.int64) & (bits - 1)] = True
+    out[(tokens >> np.uint64(24)).astype(np.int64) & (bits - 1)] = True
     return np.packbits(out)
 
 
 def signature_bits(size: int) -> int:
-    """At least four bits for each token."""
-    return 1 << max(8, (4 * size - 1).bit_length())
+    """At least two bits for each token."""
+    return 1 << max(8, (2 * size - 1).bit_length())
 
 
 def folded(bitmap: np.ndarray, bits: int) -> np.ndarray:
@@ -374,57 +398,81 @@ def _blocks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple
         yield group
 
 
-def _candidate_sets(docs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
-    """`c, c2, n, tokens, bitmap` of the distinct sets that hold a repeated early token.
-
-    A bitmap of fixed size over hashes of `c` lets most other texts pass by; what it lets
-    through in vain does no harm."""
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size over hashes of the sets `c` of `ids`: what it lets pass in vain
+    does no harm, and it lets most others not pass."""
     bit = F.pmod("c", F.lit(1 << FILTER_BITS))
-    words = tokens.select("c").distinct().groupBy(F.shiftright(bit, 5).cast("int").alias("word"))
+    words = ids.select("c").distinct().groupBy(F.shiftright(bit, 5).cast("int").alias("word"))
     words = words.agg(F.bit_or(F.expr("shiftleft(1L, CAST(pmod(c, 32) AS INT))")).alias("bits"))
-    kept = np.zeros((1 << FILTER_BITS) // 32, np.uint32)
-    found = words.toPandas()  # two megabytes of bits at most
-    kept[found["word"]] = found["bits"].astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(kept)
+    marks = np.zeros((1 << FILTER_BITS) // 32, np.uint32)
+    found = words.toArrow()  # two megabytes of bits at most
+    marks[np.asarray(found.column("word"))] = np.asarray(found.column("bits")).astype(np.uint32)
+    return marks
+
+
+def _marked(marks: np.ndarray, c: np.ndarray) -> np.ndarray:
+    place = c % (1 << FILTER_BITS)
+    return (marks[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+
+
+_SET = "c bigint, c2 bigint, n int, tokens binary, bitmap binary"
+
+
+def _candidate_sets(docs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
+    """`c, c2, n, tokens, bitmap` of the sets in `tokens`; a set may come from several tasks."""
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(tokens))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, texts in text_portions(batches, BYTES_AT_ONCE):
+            sets = [s for s in token_sets(texts, rule) if len(s)]
+            ids = [_set_ids(s) for s in sets]
+            wanted = _marked(shared.value, np.array([i[0] for i in ids], np.int64))
             out = []
-            for s in token_sets(texts, rule):
-                if len(s) == 0:
-                    continue
-                c, c2 = _set_ids(s)
-                place = c % (1 << FILTER_BITS)
-                if c in seen or not (int(shared.value[place >> 5]) >> (place & 31)) & 1:
-                    continue
-                if len(seen) > 500_000:
-                    seen.clear()
-                seen.add(c)
-                out.append((c, c2, len(s), pack(s), signature(s, signature_bits(len(s))).tobytes()))
+            for s, (c, c2), want in zip(sets, ids, wanted.tolist()):
+                if want and c not in seen:
+                    if len(seen) > 500_000:
+                        seen.clear()
+                    seen.add(c)
+                    out.append((c, c2, len(s), pack(s), signature(s, signature_bits(len(s))).tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
                     names=["c", "c2", "n", "tokens", "bitmap"],
                 )
 
-    schema = "c bigint, c2 bigint, n int, tokens binary, bitmap binary"
-    return staged(docs.select("text").mapInArrow(scan, schema), "candidates")
+    return staged(docs.select("text").mapInArrow(scan, _SET), "candidates")
+
+
+def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `sets` that are in `ids`, and a few more, without moving the others."""
+    shared = sets.sparkSession.sparkContext.broadcast(_marks(ids))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_marked(shared.value, np.asarray(batch.column(0)))))
+
+    return staged(sets.mapInArrow(keep, _SET), "some-sets")
 
 
-def _round_edges(tokens: DataFrame, sets: DataFrame, turn: int, rule: Rule) -> DataFrame:
-    """Connections found when each set goes to the block of one of its tokens, chosen by hash.
-    Blocks of more than `BLOCK` sets are cut at random, differently in each round."""
+def _placed(tokens: DataFrame, turn: int) -> DataFrame:
+    """`turn, token, part, c`: each set in the block of one of its tokens, chosen by hash.
+    Blocks of more than `BLOCK` sets are cut at random, differently in each turn."""
     chosen = tokens.groupBy("c").agg(
         F.min(F.struct(F.xxhash64(F.lit(turn), "token"), "token")).alias("least")
     ).select("c", F.col("least.token").alias("token"))
-    counts = chosen.groupBy("token").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).alias("parts"))
-    counts = counts.join(chosen, "token").filter("c IS NOT NULL")
-    placed = counts.withColumn("part", F.pmod(F.xxhash64(F.lit(turn), "c"), F.col("parts")).cast("int"))
-    blocks = placed.join(sets, "c").select("token", "part", "c", "c2", "tokens")
+    counts = chosen.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
+    part = F.pmod(F.xxhash64(F.lit(turn), "c"), F.ceil(F.col("held") / F.lit(float(BLOCK)))).cast("int")
+    return chosen.join(counts, "token").select(F.lit(turn).alias("turn"), "token", part.alias("part"), "c")
+
+
+def _block_edges(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Connections found in the blocks of `_placed`."""
+    keys = ["turn", "token", "part"]
+    blocks = placed.join(sets, "c").select(*keys, "c", "c2", "tokens")
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _blocks(batches, 2):
+        for group in _blocks(batches, 3):
             group = list({row[:2]: row for row in group}.values())
             if len(group) < 2:
                 continue
@@ -433,7 +481,7 @@ def _round_edges(tokens: DataFrame, sets: DataFrame, turn: int, rule: Rule) -> D
             if ends:
                 yield _edge_batch(ends)
 
-    sorted_blocks = blocks.repartition("token", "part").sortWithinPartitions("token", "part")
+    sorted_blocks = blocks.repartition(*keys).sortWithinPartitions(*keys)
     return staged(sorted_blocks.mapInArrow(connect, _EDGE), "round")
 
 
@@ -457,45 +505,58 @@ def _mixed(tokens: DataFrame, labels: DataFrame) -> DataFrame:
 def _mixed_pairs(mixed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs that share a token of `mixed` (`token, c, n, label`) and that the trees leave.
 
-    Sets go to two size classes, so that all sets of a block are of like size and every pair
-    that can be linked shares a class. Blocks of more than `BLOCK` sets are cut, and their
-    parts meet in pairs."""
-    ratio = float(np.log(100 / rule.percent))
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio)).cast("int")
-    members = mixed.withColumn("size_class", F.explode(F.array(size_class, size_class + 1))).drop("n")
-    counts = members.groupBy("token", "size_class").agg(
-        F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts"), F.count("*").alias("size")
-    ).filter("size > 1")
+    Linked sets share several early tokens, so each set leaves out the last but one of them, in
+    the order of how many sets hold a token: frequent tokens bring together the fewest. Blocks
+    of more than `BLOCK` sets are cut, and their parts meet in pairs."""
+    held = mixed.groupBy("token").agg(F.count("*").alias("held"))
+    lists = mixed.join(held, "token").groupBy("c", "n", "label").agg(
+        F.array_sort(F.collect_list(F.struct("held", "token"))).alias("early")  # of one set
+    )
+    kept = F.size("early") - _enough(rule).cast("int") + 1
+    rows = lists.filter(kept > 0).select("c", "n", "label", F.explode(F.slice("early", F.lit(1), kept)).alias("t"))
+    rows = staged(rows.select("t.token", "c", "n", "label"), "mixed")
+    parts = F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts")
+    counts = rows.groupBy("token").agg(parts, F.min("label").alias("low"), F.max("label").alias("high"))
+    counts = counts.filter("low <> high").drop("low", "high")
     part = F.pmod(F.xxhash64(F.lit(9), "c"), F.col("parts")).cast("int")
-    low = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least(p, F.col("part")).alias("i"), F.greatest(p, F.col("part")).alias("j")))
-    placed = (
-        members.join(counts.drop("size"), ["token", "size_class"])
-        .withColumn("part", part)
-        .withColumn("meet", F.explode(low))
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda p: F.struct(F.least(p, F.col("part")).alias("i"), F.greatest(p, F.col("part")).alias("j")),
     )
-    rows = placed.join(sets.select("c", "c2", "n", "bitmap"), "c").select(
-        "token", "size_class", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"),
-        "c", "c2", "n", "label", "bitmap", "part",
+    placed = rows.join(counts, "token").withColumn("part", part).withColumn("meet", F.explode(meets))
+    blocks = placed.join(sets.select("c", "c2", "bitmap"), "c").select(
+        "token", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "c", "c2", "n", "label", "part", "bitmap"
     )
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _blocks(batches, 4):
-            group = sorted({row[:2]: row for row in group}.values(), key=lambda row: row[2])
-            labels = np.array([row[3] for row in group], np.int64)
-            if len(group) < 2 or (labels == labels[0]).all():
-                continue
-            bits = 8 * min(len(row[4]) for row in group)
-            bitmaps = np.stack([folded(np.frombuffer(row[4], np.uint8), bits) for row in group])
-            tree = SignatureTree(bitmaps, np.array([row[2] for row in group], np.int64))
-            parts = np.array([row[5] for row in group])
-            several = parts if len(set(parts.tolist())) > 1 else None  # a part meets itself elsewhere
-            ends = [(group[a][:2], group[b][:2]) for a, b in tree.pairs(rule, labels, several)]
+        for rows in _blocks(batches, 3):
+            rows = sorted({row[:2]: row for row in rows}.values(), key=lambda row: row[2])
+            ends = []
+            for group in _like_sized(rows, rule):
+                labels = np.array([row[3] for row in group], np.int64)
+                if (labels == labels[0]).all():
+                    continue
+                bits = 8 * min(len(row[5]) for row in group)
+                bitmaps = np.stack([folded(np.frombuffer(row[5], np.uint8), bits) for row in group])
+                tree = SignatureTree(bitmaps, np.array([row[2] for row in group], np.int64))
+                own = np.array([row[4] for row in group])
+                several = own if (own != own[0]).any() else None  # a part meets itself elsewhere
+                ends += [tuple(sorted((group[a][:2], group[b][:2]))) for a, b in tree.pairs(rule, labels, several)]
             if ends:
-                yield _edge_batch([tuple(sorted(e)) for e in ends])
+                yield _edge_batch(ends)
+
+    keys = ["token", "i", "j"]
+    sorted_blocks = blocks.repartition(*keys).sortWithinPartitions(*keys)
+    return staged(sorted_blocks.mapInArrow(propose, _EDGE).distinct(), "pairs")
+
 
-    keys = ["token", "size_class", "i", "j"]
-    sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys)
-    return staged(sorted_rows.mapInArrow(propose, _EDGE).distinct(), "pairs")
+def _like_sized(rows: list[tuple], rule: Rule) -> Iterator[list[tuple]]:
+    """Rows in order of size, cut where the next one is too large for a link with the last."""
+    start = 0
+    for i in range(1, len(rows) + 1):
+        if i == len(rows) or rule.percent * rows[i][2] > 100 * rows[i - 1][2]:
+            yield rows[start:i]
+            start = i
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -520,10 +581,8 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     scanned = _sizes_and_sketch(docs, rule)
     rows = scanned.filter("kind = 'doc'").select("row", "doc_id", "n", "c", "c2")
     filled = rows.filter("n > 0")
-    tokens = _repeated(_early_tokens(docs, _order(scanned), rule))
-    found = _candidate_sets(docs, tokens, rule)
-    one = {name: F.first(name).alias(name) for name in ("n", "tokens", "bitmap")}
-    sets = staged(found.groupBy("c", "c2").agg(*one.values()), "distinct")
+    tokens = _with_partners(_repeated(_early_tokens(docs, _order(scanned), rule)), rule)
+    sets = _candidate_sets(docs, tokens, rule)
 
     # A set's node is the smallest row that holds it.
     nodes = staged(filled.groupBy("c", "c2").agg(F.min("row").alias("node")), "nodes")
@@ -533,7 +592,7 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         b = nodes.select(F.col("c").alias("b1"), F.col("c2").alias("b2"), F.col("node").alias("b"))
         return ends.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a", "b")
 
-    labels = staged(connected_components(as_nodes(_round_edges(tokens, sets, 0, rule))), "labels")
+    labels = staged(connected_components(as_nodes(_block_edges(_placed(tokens, 0), sets, rule))), "labels")
 
     def of_set() -> DataFrame:
         return nodes.join(labels, "node", "left").select("c", F.coalesce("component", "node").alias("label"))
@@ -543,9 +602,13 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         return staged(connected_components(known.unionAll(as_nodes(ends))), "labels")
 
     mixed = _mixed(tokens, of_set())
-    labels = grown(reduce(DataFrame.unionAll, [_round_edges(mixed, sets, turn, rule) for turn in range(1, ROUNDS)]))
-    mixed = _mixed(mixed, of_set())
-    final = grown(_compared(_mixed_pairs(mixed, sets, rule), sets, rule))
+    sets = _only(sets, mixed)
+    turns = [_placed(mixed, turn) for turn in range(1, ROUNDS)]
+    labels = grown(_block_edges(reduce(DataFrame.unionAll, turns), sets, rule))
+    mixed = _mixed(mixed.drop("label"), of_set())
+    pairs = _mixed_pairs(mixed, sets, rule)
+    ends = pairs.select(F.col("a1").alias("c")).unionAll(pairs.select(F.col("b1").alias("c")))
+    final = grown(_compared(pairs, _only(sets, ends), rule))
 
     per_set = nodes.join(final, "node", "left").select("c", "c2", F.coalesce("component", "node").alias("component"))
     placed = staged(rows.join(per_set, ["c", "c2"], "left").select("row", "doc_id", "n", F.coalesce("component", "row").alias("component")), "placed")
