@@ -6,29 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-_UNIT_STEPS = 1 << 52
-
-
 def hash_assign(columns: Sequence[Column], groups: int, salt: str = "") -> Column:
     """Group number 0..groups-1 of a row. Give each attribute its own `salt`:
     one hash used twice makes the two attributes follow each other."""
     return F.pmod(F.xxhash64(F.lit(salt), *columns), F.lit(groups))
 
 
-def hash_choice(columns: Sequence[Column], choices: Sequence[str], salt: str = "") -> Column:
-    """One of `choices`, picked by the row's hash."""
-    options = F.array(*[F.lit(c) for c in choices])
-    return F.element_at(options, (hash_assign(columns, len(choices), salt) + 1).cast("int"))
-
-
-def hash_uniform(columns: Sequence[Column], seed: int) -> Column:
-    """Reproducible number in [0, 1). Unlike `rand(seed)` it does not change with the partitioning."""
-    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(_UNIT_STEPS)) / F.lit(float(_UNIT_STEPS))
-
-
-def hash_skewed(columns: Sequence[Column], seed: int, steepness: float, scale: float) -> Column:
-    """`scale * exp(steepness * u)` for the row's uniform number u: many small values, few large."""
-    return F.exp(F.lit(float(steepness)) * hash_uniform(columns, seed)) * F.lit(float(scale))
+def key_assign(key: Column, groups: int) -> Column:
+    """Group number 0..groups-1 of an integer key by remainder: any engine finds the same one."""
+    return F.pmod(key, F.lit(groups))
 
 
 def padded_key(prefix: str, number: Column, width: int) -> Column:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cashwatch.functions.amounts import OUTFLOW, at_least, known_keys, ratio_or_zero
-from cashwatch.operators.grains import counterparty_totals
+from cashwatch.operators.grains import counterparty_totals, day_gross
 
 _DAY_KEYS = ["value_date", "currency"]
-_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-_SALTS = 256
+_SHARE_ORDER = ("cp_share", "counterparty_id")
 
 
 def counterparty_flows(df_tx: DataFrame) -> DataFrame:
@@ -31,53 +30,60 @@ def outflow_of_flows(df_flows: DataFrame) -> DataFrame:
     return df_flows.filter(F.col("cp_out_count") > 0).select(*_DAY_KEYS, "counterparty_id", "cp_outflow")
 
 
-def flows_with_day_total(df_tx: DataFrame) -> DataFrame:
-    """Counterparty flows plus one total row per day and currency, from one scan and shuffle."""
-    keys = [F.col(k) for k in _DAY_KEYS]
-    counterparty = F.col("counterparty_id")
-    net, gross, *_ = counterparty_totals()
-    return df_tx.groupingSets([[*keys, counterparty], keys], *keys, counterparty).agg(
-        (F.grouping("counterparty_id") == 1).alias("is_total"), net, gross
-    )
+def day_gross_total(df_tx: DataFrame) -> DataFrame:
+    """Gross flow per day and currency, summed directly: one partial sum per task and day."""
+    return df_tx.groupBy(*_DAY_KEYS).agg(day_gross().alias("total_gross_flow"))
+
 
+def concentration_top_counterparties(df_tx: DataFrame, top_n: int, salts: int = 1) -> DataFrame:
+    """The `top_n` counterparties by share of the day's gross flow, with top-1 and top-N shares.
 
-def concentration_top_counterparties(df_tx: DataFrame, top_n: int) -> DataFrame:
-    """The `top_n` counterparties by share of the day's gross flow, with top-1 and top-N shares."""
-    return top_of_totals(flows_with_day_total(df_tx), top_n)
+    `salts` above 1 cuts a day's counterparties into that many parts which are limited to
+    `top_n` rows each before they meet. It changes no row. Use it where `top_n` exceeds
+    `spark.sql.optimizer.windowGroupLimitThreshold`, beyond which tasks no longer limit rows
+    before the shuffle.
+    """
+    flows = counterparty_flows(df_tx).select(*_DAY_KEYS, "counterparty_id", "cp_net_flow", "cp_gross_flow")
+    return top_of_flows(flows, day_gross_total(df_tx), top_n, salts)
 
 
-def top_of_totals(df_flows_and_totals: DataFrame, top_n: int) -> DataFrame:
-    """Rank counterparty rows within a day; the day's total row travels with them.
+def top_of_flows(df_flows: DataFrame, df_day_totals: DataFrame, top_n: int, salts: int = 1) -> DataFrame:
+    """Rank `counterparty_flows` rows within a day, given `day_gross_total` rows.
 
-    A day and currency may hold a large part of all counterparties, so they never meet in
-    one task. Each task first keeps its own best `top_n` rows of every class, and only
-    those rows and the total are shuffled by day and currency. Gross flow orders rows as
-    share does, since one total divides them all. The classes (flow known, flow NULL,
-    total) keep the survivors complete where a total of zero makes every share equal.
+    The total is joined first, so that the cut before the shuffle and the final rank go by the
+    same share and then by the id: near ties that round to one share are cut as they are
+    ranked. Totals are one row per day and currency (a century in 30 currencies is a million
+    rows of 30 bytes), so they are broadcast and flows are not moved for it. A day and currency may hold a large part of all
+    counterparties, so they never meet in one task; each task keeps its own best rows first.
     """
-    top_n = int(top_n)
-    survivors = _best_rows(df_flows_and_totals, max(top_n, 1))
+    top_n, salts = int(top_n), int(salts)
+    if salts < 1:
+        raise ValueError("salts must be at least 1")
+    known = known_keys(*_DAY_KEYS)
+    share, rank = F.col("cp_share"), F.col("cp_rank")
+    by_share = [share.desc(), F.col("counterparty_id")]
+
+    # A NULL day or currency matches no total: its shares are 0.0 and only ids order its rows.
+    shared = df_flows.join(F.broadcast(df_day_totals), _DAY_KEYS, "left").withColumn(
+        "cp_share", ratio_or_zero(F.col("cp_gross_flow"), F.col("total_gross_flow"))
+    )
+    # Rank 1 is kept for the top-1 share even where no row is asked for.
+    limit = max(top_n, 1)
+    if salts > 1:
+        salted = shared.withColumn("_salt", F.pmod(F.xxhash64("counterparty_id"), F.lit(salts)))
+        within = Window.partitionBy(*_DAY_KEYS, "_salt").orderBy(*by_share)
+        shared = salted.withColumn("_row", F.row_number().over(within)).filter(F.col("_row") <= limit).drop("_row", "_salt")
 
     day = Window.partitionBy(*_DAY_KEYS)
-    is_total, known = F.col("is_total"), known_keys(*_DAY_KEYS)
-    total, share, rank = F.col("total_gross_flow"), F.col("cp_share"), F.col("cp_rank")
-    by_share = day.orderBy("is_total", share.desc(), "counterparty_id")
-
-    ranked = (
-        survivors.withColumn(
-            "total_gross_flow", F.when(known, F.max(F.when(is_total, F.col("cp_gross_flow"))).over(day))
-        )
-        .withColumn("cp_share", ratio_or_zero(F.col("cp_gross_flow"), total))
-        .withColumn("cp_rank", F.row_number().over(by_share))
-        .withColumns(
-            {
-                "top1_share": F.max(F.when(~is_total & (rank == 1), share)).over(day),
-                "topN_share": F.sum(F.when(~is_total & (rank <= top_n), share)).over(day),
-            }
-        )
-        .filter(~is_total & (rank <= top_n))
+    best = shared.withColumn("cp_rank", F.row_number().over(day.orderBy(*by_share))).filter(rank <= limit)
+    ranked = best.withColumns(
+        {
+            "top1_share": F.when(known, F.max(F.when(rank == 1, share)).over(day)),
+            "topN_share": F.when(known, F.sum(F.when(rank <= top_n, share)).over(day)),
+            "topN": F.when(known, F.lit(top_n)),
+        }
     )
-    return ranked.select(
+    return ranked.filter(rank <= top_n).select(
         *_DAY_KEYS,
         "counterparty_id",
         "cp_net_flow",
@@ -85,45 +91,22 @@ def top_of_totals(df_flows_and_totals: DataFrame, top_n: int) -> DataFrame:
         "total_gross_flow",
         "cp_share",
         "cp_rank",
-        F.when(known, F.col("top1_share")).alias("top1_share"),
-        F.when(known, F.col("topN_share")).alias("topN_share"),
-        F.when(known, F.lit(top_n)).alias("topN"),
+        "top1_share",
+        "topN_share",
+        "topN",
     )
 
 
-def _best_rows(df: DataFrame, limit: int) -> DataFrame:
-    known = known_keys(*_DAY_KEYS)
-    gross = F.col("cp_gross_flow")
-    # Rows with a NULL key all get share 0.0, so only the counterparty orders them.
-    row_class = F.when(F.col("is_total"), 2).when(known & gross.isNull(), 1).otherwise(0)
-    order = [F.when(known, gross).desc(), F.col("counterparty_id")]
-    classed = df.withColumn("_class", row_class)
-
-    group = [*_DAY_KEYS, "_class"]
-    threshold = int(df.sparkSession.conf.get(_LIMIT_CONF, "1000"))
-    if limit > threshold:
-        # Beyond the threshold the engine stops limiting rows before the shuffle, so a
-        # salted window does it: every counterparty is in one salt, no row is lost.
-        salted = classed.withColumn("_salt", F.pmod(F.xxhash64("counterparty_id"), F.lit(_SALTS)))
-        within = Window.partitionBy(*group, "_salt").orderBy(*order)
-        classed = salted.withColumn("_row", F.row_number().over(within)).filter(F.col("_row") <= limit)
-
-    within = Window.partitionBy(*group).orderBy(*order)
-    best = classed.withColumn("_row", F.row_number().over(within)).filter(F.col("_row") <= limit)
-    return best.drop("_class", "_row", "_salt")
-
-
 def flag_concentration_anomaly(
     df_conc_top: DataFrame, share_threshold: float, metric: str = "top1_share"
 ) -> DataFrame:
     """One row per day and currency, flagged where `metric` reaches the threshold.
 
-    `metric` is `top1_share`, or `topN_share` to flag on the whole top list.
+    `metric` is `top1_share`, or `topN_share` to flag on the whole top list. Day-level columns
+    are the same on all rows of a day, so its first-ranked row gives them all.
     """
     if metric not in ("top1_share", "topN_share"):
         raise ValueError(f"metric must be top1_share or topN_share, not {metric!r}")
-    return (
-        df_conc_top.select(*_DAY_KEYS, "top1_share", "topN_share", "topN")
-        .dropDuplicates([*_DAY_KEYS, "topN"])
-        .withColumn("flag_concentration", at_least(F.col(metric), share_threshold))
-    )
+    leaders = df_conc_top.where("cp_rank = 1")
+    raised = at_least(F.col(metric), share_threshold).alias("flag_concentration")
+    return leaders.select(*_DAY_KEYS, "top1_share", "topN_share", "topN", raised)

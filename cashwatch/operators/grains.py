@@ -30,6 +30,11 @@ def counterparty_totals() -> list[Column]:
     ]
 
 
+def day_gross() -> Column:
+    """Gross flow of a group of transactions."""
+    return F.sum(F.abs(signed_amount()))
+
+
 def transaction_grains(df_tx_bucketed: DataFrame) -> DataFrame:
     """Bucket sums and counterparty sums of bucketed transactions, told apart by `grain`."""
     bucket, counterparty = F.col("bucket_start_ts"), F.col("counterparty_id")
@@ -54,18 +59,7 @@ def counterparty_grain(df_grains: DataFrame) -> DataFrame:
     )
 
 
-def counterparty_grain_with_day_total(df_grains: DataFrame) -> DataFrame:
-    """Counterparty rows plus one total row per day, as `top_of_totals` takes them.
-
-    The totals come from the bucket rows, of which a day has few.
-    """
-    flows = ["cp_net_flow", "cp_gross_flow"]
-    members = df_grains.filter(F.col("grain") == COUNTERPARTY).select(
-        *_DAY_KEYS, "counterparty_id", F.lit(False).alias("is_total"), *flows
-    )
-    totals = (
-        df_grains.filter(F.col("grain") == BUCKET)
-        .groupBy(*_DAY_KEYS)
-        .agg(F.lit(True).alias("is_total"), *[F.sum(c).alias(c) for c in flows])
-    )
-    return members.unionByName(totals, allowMissingColumns=True)
+def day_totals(df_grains: DataFrame) -> DataFrame:
+    """Same frame as `day_gross_total`, from the bucket rows, of which a day has few."""
+    buckets = df_grains.filter(F.col("grain") == BUCKET)
+    return buckets.groupBy(*_DAY_KEYS).agg(F.sum("cp_gross_flow").alias("total_gross_flow"))

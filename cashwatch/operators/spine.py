@@ -20,6 +20,17 @@ def calendar_spine(df_keys: DataFrame, start: date, days: int, name: str = "valu
     return df_keys.select(F.explode(dates).alias(name), *df_keys.columns)
 
 
+def observed_spine(df_keys: DataFrame, df_dates: DataFrame, name: str = "value_date") -> DataFrame:
+    """Repeat each row of `df_keys` for every date from the first to the last `name` of `df_dates`.
+
+    The bounds are one row, found in the same job; NULL dates do not count, and no dates give
+    no rows.
+    """
+    bounds = df_dates.agg(F.min(name).alias("_first"), F.max(name).alias("_last"))
+    dates = bounds.select(F.sequence("_first", "_last").alias("_dates"))
+    return df_keys.select(F.explode(dates.scalar()).alias(name), *df_keys.columns)
+
+
 def with_each(df: DataFrame, name: str, values: Sequence) -> DataFrame:
     """Repeat each row for each of a short list of literal values, as column `name`."""
     options = F.array(*[F.lit(v) for v in values])

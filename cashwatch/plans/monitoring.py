@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 from functools import partial
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cashwatch.operators.counterparties import (
-    concentration_top_counterparties,
+    counterparty_flows,
     counterparty_outflow,
+    day_gross_total,
     flag_concentration_anomaly,
     outflow_of_flows,
-    top_of_totals,
+    top_of_flows,
 )
 from cashwatch.operators.flows import intraday_time_bucket, maturity_ladder, net_cashflow_by_bucket
-from cashwatch.operators.grains import (
-    bucket_grain,
-    counterparty_grain,
-    counterparty_grain_with_day_total,
-    transaction_grains,
-)
+from cashwatch.operators.grains import bucket_grain, counterparty_grain, day_totals, transaction_grains
 from cashwatch.operators.intraday import build_intraday_snapshot, flag_liquidity_drop_anomaly
 from cashwatch.operators.limits import daily_limit_flags, limit_utilization
 from cashwatch.operators.liquidity import liquidity_base
-from cashwatch.operators.quality import dq_suite
+from cashwatch.operators.quality import dq_suite, transaction_counts
 from cashwatch.plans.daily import daily_snapshot
 from cashwatch.schemas import INPUT_TABLES
 from cashwatch.sources.tables import (
@@ -45,7 +43,9 @@ class Settings:
     granularity: str = "hour"
     timezone: str | None = None
     z_threshold: float = 3.0
+    reset_daily: bool = False
     top_n: int = 10
+    top_salts: int = 1
     concentration_share: float = 0.20
     limit_warning: float = 0.90
     limit_breach: float = 1.00
@@ -63,6 +63,56 @@ OUTPUT_PARTITIONS = {
 }
 
 
+def _of_dates(column: str, dates: Sequence[date] | None) -> Column:
+    return F.lit(True) if dates is None else F.col(column).isin(list(dates))
+
+
+def _staged_frames(
+    tx: DataFrame, lim: DataFrame, settings: Settings, run_path: str, dates: Sequence[date] | None = None
+) -> dict[str, DataFrame]:
+    """Intraday, top and utilization frames from grains staged under `run_path`.
+
+    All dates come from one scan of `tx`. For chosen dates the bucket sums still cover the whole
+    history, with which a day's changes are compared, while counterparty sums read those dates.
+    """
+    bucketed = intraday_time_bucket(tx, settings.timezone, settings.granularity)
+    if dates is None:
+        grains = stage(transaction_grains(bucketed), f"{run_path}/grains", ["grain"])
+        net, flows, totals = bucket_grain(grains), counterparty_grain(grains), day_totals(grains)
+    else:
+        chosen = tx.filter(_of_dates("value_date", dates))
+        net = stage(net_cashflow_by_bucket(bucketed), f"{run_path}/buckets")
+        flows = stage(counterparty_flows(chosen), f"{run_path}/flows")
+        totals = flows.groupBy("value_date", "currency").agg(F.sum("cp_gross_flow").alias("total_gross_flow"))
+    return _frames(net, flows, totals, outflow_of_flows(flows), lim, settings, dates)
+
+
+def _frames(
+    net: DataFrame,
+    flows: DataFrame,
+    totals: DataFrame,
+    outflow: DataFrame,
+    lim: DataFrame,
+    settings: Settings,
+    dates: Sequence[date] | None = None,
+) -> dict[str, DataFrame]:
+    flagged = flag_liquidity_drop_anomaly(build_intraday_snapshot(net), settings.z_threshold, settings.reset_daily)
+    return {
+        "intraday_snapshots": flagged.filter(_of_dates("value_date", dates)),
+        "concentration_top_counterparties": top_of_flows(flows, totals, settings.top_n, settings.top_salts),
+        "limit_utilization": limit_utilization(outflow, lim, settings.limit_warning, settings.limit_breach),
+    }
+
+
+def _daily(frames: dict[str, DataFrame], bal: DataFrame, col: DataFrame, settings: Settings) -> DataFrame:
+    return daily_snapshot(
+        frames["intraday_snapshots"],
+        daily_limit_flags(frames["limit_utilization"]),
+        liquidity_base(bal, col),
+        flag_concentration_anomaly(frames["concentration_top_counterparties"], settings.concentration_share),
+    )
+
+
 def monitoring_frames(
     tx: DataFrame,
     cf: DataFrame,
@@ -71,48 +121,26 @@ def monitoring_frames(
     lim: DataFrame,
     settings: Settings = Settings(),
     staging_path: str | None = None,
+    lazy: bool = False,
 ) -> dict[str, DataFrame]:
     """The five output frames by table name.
 
-    With `staging_path`, a folder on shared storage, transactions are scanned and shuffled
-    once for all grains, and what feeds several outputs is written there and read back.
-    Without it nothing runs yet, and each output scans the transactions for itself.
+    Transactions are scanned and shuffled once for all grains, and what feeds several outputs is
+    written to a new folder under `staging_path`, or else under the session's checkpoint folder,
+    and read back. With `lazy` nothing runs yet, and each output scans the transactions for itself.
     """
-    bucketed = intraday_time_bucket(tx, settings.timezone, settings.granularity)
-    if staging_path is None:
-        net = net_cashflow_by_bucket(bucketed)
-        top = concentration_top_counterparties(tx, settings.top_n)
-        outflow = counterparty_outflow(tx)
+    if lazy:
+        net = net_cashflow_by_bucket(intraday_time_bucket(tx, settings.timezone, settings.granularity))
+        frames = _frames(net, counterparty_flows(tx), day_gross_total(tx), counterparty_outflow(tx), lim, settings)
     else:
-        run_path = f"{staging_path.rstrip('/')}/monitoring-{uuid4().hex}"
-        grains = stage(transaction_grains(bucketed), f"{run_path}/grains", ["grain"])
-        net = bucket_grain(grains)
-        top = top_of_totals(counterparty_grain_with_day_total(grains), settings.top_n)
-        outflow = outflow_of_flows(counterparty_grain(grains))
-
-    intraday = flag_liquidity_drop_anomaly(build_intraday_snapshot(net), settings.z_threshold)
-    utilization = limit_utilization(outflow, lim, settings.limit_warning, settings.limit_breach)
-    if staging_path is not None:
-        intraday, top, utilization = run_together(
-            tx.sparkSession,
-            lambda: stage(intraday, f"{run_path}/intraday"),
-            lambda: stage(top, f"{run_path}/top"),
-            lambda: stage(utilization, f"{run_path}/utilization"),
+        run_path = f"{(staging_path or shared_folder(tx.sparkSession)).rstrip('/')}/monitoring-{uuid4().hex}"
+        lazy_frames = _staged_frames(tx, lim, settings, run_path)
+        names = list(lazy_frames)
+        written = run_together(
+            tx.sparkSession, *[partial(stage, lazy_frames[name], f"{run_path}/{name}") for name in names]
         )
-
-    daily = daily_snapshot(
-        intraday,
-        daily_limit_flags(utilization),
-        liquidity_base(bal, col),
-        flag_concentration_anomaly(top, settings.concentration_share),
-    )
-    return {
-        "intraday_snapshots": intraday,
-        "daily_snapshots": daily,
-        "concentration_top_counterparties": top,
-        "maturity_ladder": maturity_ladder(cf),
-        "limit_utilization": utilization,
-    }
+        frames = dict(zip(names, written))
+    return {**frames, "daily_snapshots": _daily(frames, bal, col, settings), "maturity_ladder": maturity_ladder(cf)}
 
 
 def run_monitoring(
@@ -121,27 +149,53 @@ def run_monitoring(
     out_path: str,
     settings: Settings = Settings(),
     staging_path: str | None = None,
+    dates: Sequence[date] | None = None,
 ) -> None:
     """Read the input tables under `raw_path`, write `dq_results` and the five outputs.
 
-    Only the dates present in the input are replaced, so a day can be run again. Staged
-    tables go to a new folder under `staging_path` or else under the session's checkpoint
-    folder, and stay there; how long to keep them is up to the owner of that folder.
+    Without `dates` the dates present in the input are replaced. With them only those dates
+    are, from an input that holds the whole history: changes are compared with all of it, so a
+    date that is run again gets the values of the full run. Quality checks cover the whole input.
+
+    Each output is written once; daily snapshots are derived from what was written. Staged sums
+    go to a new folder under `staging_path` or else under the session's checkpoint folder, and
+    stay there; how long to keep them is up to the owner of that folder.
     """
-    staging_path = staging_path or shared_folder(spark)
+    run_path = f"{(staging_path or shared_folder(spark)).rstrip('/')}/monitoring-{uuid4().hex}"
     tables = {
         name: read_parquet(spark, f"{raw_path}/{name}", schema) for name, (schema, _) in INPUT_TABLES.items()
     }
-    inputs = [tables[n] for n in ("transactions", "cashflows", "balances", "collateral", "limits")]
+    tx, cf, bal, col, lim = (tables[n] for n in ("transactions", "cashflows", "balances", "collateral", "limits"))
+
+    def of_dates(df: DataFrame, column: str) -> DataFrame:
+        return df.filter(_of_dates(column, dates))
 
-    checks = dq_suite(*inputs, max_tx_rows=settings.max_tx_rows)
+    # The scan for the sums also counts rows and NULLs for the checks: one row, to the driver.
+    counts = Observation()
+    counted = tx.observe(counts, *transaction_counts())
+    frames = _staged_frames(counted, of_dates(lim, "as_of_date"), settings, run_path, dates)
+    frames["maturity_ladder"] = maturity_ladder(of_dates(cf, "as_of_date"))
 
-    def write(frames: dict[str, DataFrame], name: str) -> None:
+    def write(name: str, frame: DataFrame) -> None:
         bounded = name != "limit_utilization"
-        write_parquet_partitioned(frames[name], f"{out_path}/{name}", OUTPUT_PARTITIONS[name], bounded)
+        write_parquet_partitioned(frame, f"{out_path}/{name}", OUTPUT_PARTITIONS[name], bounded)
+
+    def write_checks() -> None:
+        seen = counts.get
+        row = spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in seen.items()])
+        checks = dq_suite(tx, cf, bal, col, lim, max_tx_rows=settings.max_tx_rows, tx_counts=row)
+        write_parquet(checks, f"{out_path}/dq_results")
+
+    run_together(spark, write_checks, *[partial(write, name, frame) for name, frame in frames.items()])
+
+    # Dates of this run, as earlier runs may have left others in the outputs.
+    days = frames["intraday_snapshots"].select("value_date").distinct()
 
-    def write_frames() -> None:
-        frames = monitoring_frames(*inputs, settings=settings, staging_path=staging_path)
-        run_together(spark, *[partial(write, frames, name) for name in frames])
+    def written(name: str) -> DataFrame:
+        out = read_parquet(spark, f"{out_path}/{name}", frames[name].schema)
+        own = days.withColumnRenamed("value_date", "_day")
+        return out.join(own, F.col("value_date").eqNullSafe(F.col("_day")), "left_semi")
 
-    run_together(spark, lambda: write_parquet(checks, f"{out_path}/dq_results"), write_frames)
+    daily_inputs = ("intraday_snapshots", "limit_utilization", "concentration_top_counterparties")
+    daily = _daily({name: written(name) for name in daily_inputs}, of_dates(bal, "as_of_date"), of_dates(col, "as_of_date"), settings)
+    write("daily_snapshots", daily)

@@ -17,6 +17,9 @@ from pyspark.sql.types import (
 _TEXT, _DATE, _TIME, _REAL, _INT = StringType(), DateType(), TimestampType(), DoubleType(), IntegerType()
 
 
+# Table names, column names and types are the data contract.
+
+
 def _columns(**types: DataType) -> StructType:
     return StructType([StructField(name, kind, nullable=False) for name, kind in types.items()])
 

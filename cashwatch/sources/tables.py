@@ -52,8 +52,11 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int = 64, **options: str) -> None:
     """Write a catalog table bucketed and sorted by `keys`. Two tables with the same
-    buckets join on the keys without a shuffle. Pass `path=` for an external table."""
-    writer = df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    buckets join on the keys without a shuffle. Pass `path=` for an external table.
+
+    Rows are first dealt to one task per bucket, so that each bucket is one file and keeps
+    its sort order on read."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
     writer.options(**options).saveAsTable(table)
 
 

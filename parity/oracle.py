@@ -308,6 +308,11 @@ _SELECTS = {
     "anomaly_flags": "SELECT value_date, currency, anomaly_flags FROM daily",
     "daily_snapshot": _DAILY,
     "daily_snapshot_staged": _DAILY,
+    "daily_snapshot_lazy": _DAILY,
+    "monitoring_written": _DAILY,
+    "monitoring_rerun": _DAILY,
+    "hash_assignment": """
+        SELECT o_orderkey, o_orderkey % 7 AS key_group, 'true' AS in_range, 'true' AS stays FROM orders""",
     "transaction_grains": f"""
         SELECT grain, value_date, currency, bucket_start_ts, counterparty_id,
                {_money("net_cashflow", "inflow", "outflow")}, tx_count, {_money("cp_gross_flow")}, cp_out_count
@@ -331,8 +336,10 @@ _SELECTS = {
     "dq_suite": " UNION ALL ".join(_DQ_SUITE),
     "calendar_spine": """
         SELECT value_date, account_id, currency, balance
-        FROM (SELECT account_id, c.currency, DATE '2024-01-01' + CAST(i AS INTEGER) AS value_date
-              FROM (SELECT DISTINCT account_id FROM bal), (VALUES ('THB'), ('USD')) AS c(currency), range(30) AS r(i))
+        FROM (SELECT account_id, c.currency, first + CAST(i AS INTEGER) AS value_date
+              FROM (SELECT DISTINCT account_id FROM bal), (VALUES ('THB'), ('USD')) AS c(currency),
+                   (SELECT first, unnest(range(last - first + 1)) AS i
+                    FROM (SELECT min(as_of_date) AS first, max(as_of_date) AS last FROM bal)))
         LEFT JOIN (SELECT as_of_date AS value_date, account_id, currency, balance FROM bal)
         USING (value_date, account_id, currency)""",
     "padded_keys": f"SELECT o_orderkey, {_pad('K', 'o_orderkey', 3)} AS padded_key FROM orders",
@@ -364,6 +371,7 @@ _NO_DATES = {
     "dq_rowcount",
     "dq_suite",
     "padded_keys",
+    "hash_assignment",
     "monitoring_run",
 }
 _OTHER_DATES = {

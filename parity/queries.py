@@ -6,7 +6,6 @@ that the rows compare equal across engines.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import date
 from functools import partial, reduce, wraps
@@ -15,7 +14,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cashwatch.functions.amounts import maturity_bucket_expr, signed_amount
-from cashwatch.functions.keys import hash_assign, hash_choice, hash_skewed, hash_uniform, padded_key
+from cashwatch.functions.keys import hash_assign, key_assign, padded_key
 from cashwatch.operators import counterparties, flows, grains, intraday, limits, liquidity, quality, spine
 from cashwatch.plans.daily import with_anomaly_flags
 from cashwatch.plans.monitoring import Settings, monitoring_frames, run_monitoring
@@ -35,12 +34,11 @@ BUCKET = [*DAY, "bucket_start_ts"]
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the session's checkpoint folder, which is set here only if unset."""
+    """A new folder under the session's checkpoint folder, or else under its warehouse."""
     try:
         return tables.shared_folder(spark)
     except ValueError:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cashwatch-"))
-        return tables.shared_folder(spark)
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/cashwatch-{uuid4().hex}"
 
 
 def money(name: str) -> Column:
@@ -231,8 +229,7 @@ def counterparty_flows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def day_gross_total(spark: SparkSession, d: str) -> DataFrame:
-    totals = counterparties.flows_with_day_total(testdata.transactions(spark, d)).filter("is_total")
-    return totals.select(*DAY, F.round("cp_gross_flow", 2).alias("total_gross_flow"))
+    return counterparties.day_gross_total(testdata.transactions(spark, d)).select(*DAY, money("total_gross_flow"))
 
 
 def concentration_top(spark: SparkSession, d: str) -> DataFrame:
@@ -295,17 +292,16 @@ def daily_limit_flags(spark: SparkSession, d: str) -> DataFrame:
 
 def bucketed_limit_utilization(spark: SparkSession, d: str) -> DataFrame:
     """`limit_utilization` from two bucketed tables, joined without a shuffle."""
-    base, run = scratch_dir(spark), uuid4().hex
+    base = scratch_dir(spark)
     keys = ["value_date", "currency", "counterparty_id"]
     outflow = counterparties.counterparty_outflow(testdata.transactions(spark, d))
     settlement = limits.settlement_limits(testdata.limits(spark, d)).withColumnRenamed("value_date", "as_of_date")
-    tables.write_bucketed(outflow, f"outflow_{run}", keys, 8, path=f"{base}/outflow")
+    names = ("parity_outflow", "parity_limits")  # each run replaces them
+    tables.write_bucketed(outflow, names[0], keys, 8, path=f"{base}/outflow")
     tables.write_bucketed(
-        settlement, f"limits_{run}", ["as_of_date", "currency", "counterparty_id"], 8, path=f"{base}/limits"
-    )
-    return _show_utilization(
-        limits.limit_utilization(spark.table(f"outflow_{run}"), spark.table(f"limits_{run}"), WARNING, BREACH)
+        settlement, names[1], ["as_of_date", "currency", "counterparty_id"], 8, path=f"{base}/limits"
     )
+    return _show_utilization(limits.limit_utilization(*map(spark.table, names), WARNING, BREACH))
 
 
 # -- balances and collateral --------------------------------------------------------------
@@ -335,11 +331,9 @@ def liquidity_base(spark: SparkSession, d: str) -> DataFrame:
 
 
 def anomaly_flags(spark: SparkSession, d: str) -> DataFrame:
-    drops = intraday.daily_liquidity_drop_flag(_flagged(spark, d))
-    breaches = limits.daily_limit_flags(_utilization(spark, d))
-    concentration = counterparties.flag_concentration_anomaly(_top(spark, d), SHARE)
-    joined = drops.join(breaches, DAY, "left").join(concentration, DAY, "left")
-    return with_anomaly_flags(joined).select(*DAY, F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
+    frames = monitoring_frames(*_inputs(spark, d), settings=SETTINGS, staging_path=scratch_dir(spark))
+    flags = with_anomaly_flags(frames["daily_snapshots"].drop("anomaly_flags"))
+    return flags.select(*DAY, F.array_join("anomaly_flags", ",").alias("anomaly_flags"))
 
 
 def _show_daily(df: DataFrame) -> DataFrame:
@@ -364,7 +358,13 @@ def _show_daily(df: DataFrame) -> DataFrame:
 
 
 def daily_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    frames = monitoring_frames(*_inputs(spark, d), settings=SETTINGS)
+    """Staged, so that the transactions are scanned once; with a folder of its own choice."""
+    frames = monitoring_frames(*_inputs(spark, d), settings=SETTINGS, staging_path=scratch_dir(spark))
+    return _show_daily(frames["daily_snapshots"])
+
+
+def daily_snapshot_lazy(spark: SparkSession, d: str) -> DataFrame:
+    frames = monitoring_frames(*_inputs(spark, d), settings=SETTINGS, lazy=True)
     return _show_daily(frames["daily_snapshots"])
 
 
@@ -429,10 +429,10 @@ def dq_suite(spark: SparkSession, d: str) -> DataFrame:
 
 
 def calendar_spine(spark: SparkSession, d: str) -> DataFrame:
-    """Every account on every day in both currencies, with its balance where it has one."""
+    """Every account on every observed day in both currencies, with its balance where it has one."""
     bal = testdata.balances(spark, d).withColumnRenamed("as_of_date", "value_date")
     accounts = spine.with_each(bal.select("account_id").distinct(), "currency", ["THB", "USD"])
-    grid = spine.calendar_spine(accounts, date(2024, 1, 1), 30)
+    grid = spine.observed_spine(accounts, bal)
     filled = spine.fill_gaps(grid, bal, ["value_date", "account_id", "currency"])
     return filled.select("value_date", "account_id", "currency", "balance")
 
@@ -444,22 +444,18 @@ def padded_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hash_assignment(spark: SparkSession, d: str) -> DataFrame:
-    tx = testdata.transactions(spark, d)
-    key = [F.col("tx_id")]
-    return tx.select(
-        "tx_id",
-        hash_assign(key, 7, "group").alias("assigned_group"),
-        hash_choice(key, ["RTGS", "ACH", "SWIFT"], "channel").alias("assigned_channel"),
+    """Groups of integer keys, and whether the hashed group is in range and stays the same
+    when the rows lie in other partitions."""
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey")
+    groups = orders.withColumn("assigned", hash_assign([F.col("o_orderkey")], 7, "group"))
+    moved = orders.repartition(13).select(
+        F.col("o_orderkey").alias("moved_key"), hash_assign([F.col("o_orderkey")], 7, "group").alias("moved_group")
     )
-
-
-def hash_numbers(spark: SparkSession, d: str) -> DataFrame:
-    tx = testdata.transactions(spark, d)
-    key = [F.col("tx_id")]
-    return tx.select(
-        "tx_id",
-        hash_uniform(key, 42).alias("uniform"),
-        hash_skewed(key, 42, 6.0, 10.0).alias("skewed"),
+    return groups.join(moved, F.col("o_orderkey") == F.col("moved_key")).select(
+        "o_orderkey",
+        key_assign(F.col("o_orderkey"), 7).alias("key_group"),
+        F.col("assigned").between(0, 6).cast("string").alias("in_range"),
+        (F.col("assigned") == F.col("moved_group")).cast("string").alias("stays"),
     )
 
 
@@ -478,10 +474,8 @@ def partitioned_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
-    """Write the five input tables, run the whole job on them, count and sum what it wrote."""
-    base = scratch_dir(spark)
-    raw, out = f"{base}/raw", f"{base}/out"
+def _written_inputs(spark: SparkSession, d: str, base: str) -> str:
+    raw = f"{base}/raw"
     named = dict(zip(("transactions", "cashflows", "balances", "collateral", "limits"), _inputs(spark, d)))
     tables.run_together(
         spark,
@@ -490,7 +484,35 @@ def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
             for name, (_, partition) in INPUT_TABLES.items()
         ]
     )
-    run_monitoring(spark, raw, out, SETTINGS)
+    return raw
+
+
+def _written_daily(spark: SparkSession, out: str) -> DataFrame:
+    daily = tables.read_parquet(spark, f"{out}/daily_snapshots")
+    return _show_daily(daily.withColumn("value_date", F.col("value_date").cast("date")))
+
+
+def monitoring_written(spark: SparkSession, d: str) -> DataFrame:
+    """The daily snapshots as the whole job writes them."""
+    base = scratch_dir(spark)
+    run_monitoring(spark, _written_inputs(spark, d, base), f"{base}/out", SETTINGS, base)
+    return _written_daily(spark, f"{base}/out")
+
+
+def monitoring_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """The same after one day was run again over the full history: nothing may change."""
+    base = scratch_dir(spark)
+    raw = _written_inputs(spark, d, base)
+    run_monitoring(spark, raw, f"{base}/out", SETTINGS, base)
+    run_monitoring(spark, raw, f"{base}/out", SETTINGS, base, dates=[date(2024, 1, 15)])
+    return _written_daily(spark, f"{base}/out")
+
+
+def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
+    """Write the five input tables, run the whole job on them, count and sum what it wrote."""
+    base = scratch_dir(spark)
+    raw, out = _written_inputs(spark, d, base), f"{base}/out"
+    run_monitoring(spark, raw, out, SETTINGS, base)
     measures = {
         "dq_results": F.col("passed").cast("double"),
         "intraday_snapshots": F.col("cum_net_cashflow"),
@@ -560,6 +582,9 @@ QUERIES: dict[str, Query] = {
         anomaly_flags,
         daily_snapshot,
         daily_snapshot_staged,
+        daily_snapshot_lazy,
+        monitoring_rerun,
+        monitoring_written,
         transaction_grains,
         dq_nulls,
         dq_duplicates,
@@ -568,7 +593,6 @@ QUERIES: dict[str, Query] = {
         calendar_spine,
         padded_keys,
         hash_assignment,
-        hash_numbers,
         partitioned_roundtrip,
         monitoring_run,
     )

@@ -5,8 +5,8 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from cashwatch.functions.keys import hash_assign, hash_choice, hash_skewed, hash_uniform, padded_key
-from cashwatch.operators.spine import calendar_spine, fill_gaps, with_each
+from cashwatch.functions.keys import hash_assign, key_assign, padded_key
+from cashwatch.operators.spine import calendar_spine, fill_gaps, observed_spine, with_each
 
 DAY = date(2026, 1, 30)
 
@@ -21,41 +21,31 @@ def ids(spark):
     return spark.range(20_000)
 
 
-def columns():
-    key = [F.col("id")]
-    return [
-        F.col("id"),
-        hash_assign(key, 7, "group").alias("g"),
-        hash_choice(key, ["a", "b", "c"], "product").alias("c"),
-        hash_choice(key, ["a", "b", "c"], "channel").alias("d"),
-        hash_uniform(key, 42).alias("u"),
-        hash_uniform(key, 43).alias("v"),
-        hash_skewed(key, 42, 6.0, 10.0).alias("s"),
-    ]
+def test_hash_groups_do_not_depend_on_the_partitioning_and_are_spread_evenly(ids):
+    group = hash_assign([F.col("id")], 7, "group").alias("g")
+    once, other = ids.select("id", group), ids.repartition(13).select("id", group)
+    assert once.exceptAll(other).count() == 0
+    sizes = [r["count"] for r in once.groupBy("g").count().collect()]
+    assert len(sizes) == 7 and min(sizes) > 2500 and max(sizes) < 3200
 
 
-def test_hash_values_do_not_depend_on_the_partitioning(ids):
-    once = ids.select(*columns())
-    other = ids.repartition(13).select(*columns())
-    assert once.exceptAll(other).count() == 0
+def test_salts_make_attributes_independent(ids):
+    pairs = ids.select(*[hash_assign([F.col("id")], 3, salt).alias(salt) for salt in ("product", "channel")])
+    counts = [r["count"] for r in pairs.groupBy("product", "channel").count().collect()]
+    assert len(counts) == 9 and min(counts) > 1900
 
 
-def test_hash_groups_and_numbers_are_spread_evenly(ids):
-    df = ids.select(*columns())
-    sizes = [r["count"] for r in df.groupBy("g").count().collect()]
-    assert len(sizes) == 7 and min(sizes) > 2500 and max(sizes) < 3200
-    row = df.agg(
-        F.min("u").alias("lo"), F.max("u").alias("hi"), F.avg("u").alias("mean"), F.corr("u", "v").alias("corr")
-    ).first()
-    assert 0 <= row.lo < 0.001 and 0.999 < row.hi < 1
-    assert row["mean"] == pytest.approx(0.5, abs=0.01) and abs(row["corr"]) < 0.03
-    skew = df.agg(F.percentile("s", 0.5).alias("median"), F.avg("s").alias("mean"), F.max("s").alias("top")).first()
-    assert skew["mean"] > 2 * skew.median and skew.top <= 10 * 2.7182818285**6
+def test_key_groups_are_remainders(spark):
+    df = spark.createDataFrame([(-1,), (0,), (9,), (None,)], "n long").select(key_assign(F.col("n"), 7).alias("g"))
+    assert [r.g for r in df.collect()] == [6, 0, 2, None]
 
 
-def test_salts_make_attributes_independent(ids):
-    pairs = ids.select(*columns()).groupBy("c", "d").count().collect()
-    assert len(pairs) == 9 and min(r["count"] for r in pairs) > 1900
+def test_observed_spine_takes_its_bounds_from_the_data(spark):
+    keys = spark.createDataFrame([("A1",), ("A2",)], "account_id string")
+    seen = spark.createDataFrame([(DAY + timedelta(days=2),), (None,), (DAY,)], "value_date date")
+    rows = {tuple(r) for r in observed_spine(keys, seen).collect()}
+    assert rows == {(DAY + timedelta(days=n), a) for n in range(3) for a in ("A1", "A2")}
+    assert observed_spine(keys, seen.limit(0)).count() == 0
 
 
 def test_spine_runs_forward_without_a_join(spark, plan):

@@ -81,6 +81,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, plan, conf):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_bucket_is_one_file(spark, tmp_path):
+    df = spark.range(1000).repartition(7)
+    write_bucketed(df, "one_file_each", ["id"], 8, path=str(tmp_path / "bucketed"))
+    assert len(list((tmp_path / "bucketed").glob("part-*.parquet"))) == 8
+
+
 def test_conform_orders_and_casts(spark):
     raw = spark.sql(
         "SELECT 'x' AS customer_segment, '7.5' AS balance, 'THB' AS currency, 1 AS account_id, "
