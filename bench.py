@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -47,7 +46,6 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cashwatch-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
