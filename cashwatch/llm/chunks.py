@@ -106,12 +106,14 @@ def repeated_substrings(docs: DataFrame, least_chars: int = LEAST_CHARS) -> Data
     (`doc_id, text`). `spans` are the repeated runs, `(start, end)` in code points."""
     chunks = chunk_table(docs)
     place = F.struct("doc_id", "doc_row", "start")
-    first = (
+    # Written, so that the join deals the chunks out anew and can split a frequent digest's rows.
+    first = staged(
         chunks.filter("digest IS NOT NULL")
         .groupBy("digest")
         .agg(F.count("*").alias("copies"), F.min(place).alias("first"))
         .filter("copies > 1")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "first-chunks",
     )
     later = chunks.join(first, "digest").filter(~place.eqNullSafe(F.col("first")))
     by_place = Window.partitionBy("doc_row").orderBy("start", "stop")
