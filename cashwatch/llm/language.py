@@ -18,12 +18,12 @@ by `identify`, replacing any that have the names of its results.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cashwatch.llm.common import staged
@@ -47,29 +47,26 @@ class TextModel:
     languages: list[str]
     log_chance: np.ndarray
 
-    def scores(self, text: str | None) -> np.ndarray:
+    def scores(self, text: str | None) -> np.ndarray | None:
+        """Log likelihood of a text under each language, None for a text without words."""
         cells = trigram_cells(text)
         if len(cells) == 0:
-            return np.zeros(len(self.languages))
-        used, counts = np.unique(cells, return_counts=True) if len(cells) < CELLS else _counted(cells)
-        return self.log_chance[:, used] @ counts * TEXT_WEIGHT
+            return None
+        counts = np.bincount(cells, minlength=CELLS)
+        used = np.flatnonzero(counts)
+        return self.log_chance[:, used] @ counts[used].astype(np.float64) * TEXT_WEIGHT
 
 
-def _counted(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.bincount(cells, minlength=CELLS)
-    used = np.flatnonzero(counts)
-    return used, counts[used]
-
-
-_NO_LETTERS = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]+")
+# ASCII letters and all bytes beyond ASCII stay, anything else counts as a space.
+_LETTERS = bytes(c if c > 0x7F or chr(c).isalpha() else 0x20 for c in range(256))
 
 
 def trigram_cells(text: str | None) -> np.ndarray:
     """Hashed byte trigrams of the lower-cased text; what is no letter counts as one space."""
-    raw = _NO_LETTERS.sub(b" ", (text or "").lower().encode("utf-8")).strip(b" ")
-    if not raw:
+    words = (text or "").lower().encode("utf-8").translate(_LETTERS).split()
+    if not words:
         return np.zeros(0, np.int64)
-    b = np.frombuffer(b" " + raw + b" ", np.uint8).astype(np.uint32)
+    b = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
     mixed = (b[:-2] * np.uint32(0x9E3779B1)) ^ (b[1:-1] * np.uint32(0x85EBCA77)) ^ (b[2:] * np.uint32(0xC2B2AE3D))
     mixed ^= mixed >> np.uint32(15)
     return ((mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(18)).astype(np.int64)
@@ -110,61 +107,57 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS)
     return TextModel([*languages, UNDETERMINED], np.log(table / table.sum(1, keepdims=True)))
 
 
-def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT) -> DataFrame:
+def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT, keep_text: bool = True) -> DataFrame:
     """`rows` (`text, host, domain, suffix, declared` and others) plus `language`,
-    `probability` and `accepted`.
+    `probability` and `accepted`; without `text` unless `keep_text`.
 
-    `suffix` and `declared` name a language or nothing. Rows stay where they are: only the
-    sums per host, domain and in all are shuffled, and joined back by host.
+    `suffix` and `declared` name a language or nothing. Each text is scored once: rows are
+    written with their scores. Only the sums per host and domain are shuffled; the priors are
+    written too, so that the join back goes by their real size.
     """
     rows = rows.drop(*RESULTS)
     k = len(model.languages)
     known = [l for l in model.languages if l != UNDETERMINED]
+    carried = [c for c in rows.columns if keep_text or c != "text"]
     shared = rows.sparkSession.sparkContext.broadcast(model)  # languages x cells
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            scores = [own.scores(t.as_py()).tolist() for t in batch.column(at)]
+            found = [own.scores(t.as_py()) for t in batch.column(batch.schema.get_field_index("text"))]
+            logs = np.array([np.zeros(k) if f is None else f for f in found]).reshape(-1, k)
+            for column, right in (("declared", DECLARED_RIGHT), ("suffix", SUFFIX_RIGHT)):
+                logs += _stated(batch.column(batch.schema.get_field_index(column)), right, known)
+            chances = np.exp(logs - logs.max(1, keepdims=True)) if len(logs) else logs
+            chances = chances / chances.sum(1, keepdims=True)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.list_(pa.float64()))], names=[*batch.schema.names, "_text_score"]
+                [
+                    *(batch.column(batch.schema.get_field_index(c)) for c in carried),
+                    pa.array([f is not None for f in found], pa.bool_()),
+                    pa.array(list(logs), pa.list_(pa.float64())),
+                    pa.array(list(chances), pa.list_(pa.float64())),
+                ],
+                names=[*carried, "_has_text", "_evidence", "_vote"],
             )
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return _fused(rows.mapInArrow(score, f"{types}, _text_score array<double>"), known, k, accept)
-
-
-def _stated(column: str, right: float, known: list[str]) -> list[Column]:
-    """Log likelihood of a stated language under each language and `und`."""
-    wrong = (1 - right) / max(1, len(known) - 1)
-    says = lambda l: F.when(F.col(column) == l, float(np.log(right))).otherwise(float(np.log(wrong)))
-    heard = F.col(column).isin(known)
-    return [F.when(heard, says(l)).otherwise(0.0) for l in known] + [
-        F.when(heard, float(np.log(1 / len(known)))).otherwise(0.0)
-    ]
+    types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
+    scored = rows.mapInArrow(score, f"{types}, _has_text boolean, _evidence array<double>, _vote array<double>")
+    return _fused(staged(scored, "scores"), known, k, accept)
 
 
-def _chances(logs: Column) -> Column:
-    """Log scores to chances that sum to one."""
-    top = F.array_max(logs)
-    raised = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(raised, lambda x: x / total)
+def _stated(column: pa.Array, right: float, known: list[str]) -> np.ndarray:
+    """Log likelihoods of stated languages under each language and `und`, a row each."""
+    logs = np.full((len(known) + 1, len(known) + 1), np.log((1 - right) / max(1, len(known) - 1)))
+    np.fill_diagonal(logs, np.log(right))
+    logs[:, -1] = np.log(1 / max(1, len(known)))
+    logs[-1] = 0.0  # nothing stated, or no known language
+    said = pc.fill_null(pc.index_in(column, pa.array(known, column.type)), len(known))
+    return logs[np.asarray(said)]
 
 
 def _fused(scored: DataFrame, known: list[str], k: int, accept: float) -> DataFrame:
-    stated = [
-        F.array(*_stated("declared", DECLARED_RIGHT, known)),
-        F.array(*_stated("suffix", SUFFIX_RIGHT, known)),
-    ]
-    evidence = F.col("_text_score")
-    for one in stated:
-        evidence = F.zip_with(evidence, one, lambda a, b: a + b)
-    voted = scored.withColumn("_evidence", evidence).withColumn("_vote", _chances(F.col("_evidence")))
-
     votes = [F.sum(F.col("_vote")[i]).alias(f"_v{i}") for i in range(k)]
-    hosts = staged(voted.groupBy("domain", "host").agg(*votes, F.count("*").alias("_n")), "hosts")
+    hosts = staged(scored.groupBy("domain", "host").agg(*votes, F.count("*").alias("_n")), "hosts")
     sums = [F.sum(f"_v{i}").alias(f"_v{i}") for i in range(k)]
     # One row of sums over all, bounded by the number of languages.
     everything = hosts.agg(*sums).first()
@@ -172,33 +165,42 @@ def _fused(scored: DataFrame, known: list[str], k: int, accept: float) -> DataFr
     overall = [((everything[f"_v{i}"] or 0.0) + 1.0) / (total + k) for i in range(k)]
 
     domains = hosts.groupBy(F.col("domain").alias("_domain")).agg(*sums, F.sum("_n").alias("_n"))
-    level = lambda i, above: (F.col(f"_v{i}") + HOST_STRENGTH * above) / (F.col("_n") + HOST_STRENGTH)
-    domain_prior = domains.select("_domain", F.array(*[level(i, F.lit(overall[i])) for i in range(k)]).alias("_above"))
-    priors = hosts.join(domain_prior, hosts["domain"].eqNullSafe(domain_prior["_domain"])).select(
-        F.col("domain").alias("_domain"),
-        F.col("host").alias("_host"),
-        F.array(*[F.col(f"_v{i}") for i in range(k)]).alias("_votes"),
-        F.col("_n").alias("_rows"),
-        "_above",
+    above = [(F.col(f"_v{i}") + HOST_STRENGTH * overall[i]) / (F.col("_n") + HOST_STRENGTH) for i in range(k)]
+    domain_prior = domains.select("_domain", *[a.alias(f"_above{i}") for i, a in enumerate(above)])
+    priors = staged(
+        hosts.join(domain_prior, hosts["domain"].eqNullSafe(domain_prior["_domain"])).select(
+            "_domain",
+            F.col("host").alias("_host"),
+            F.col("_n").alias("_rows"),
+            *[f"_v{i}" for i in range(k)],
+            *[f"_above{i}" for i in range(k)],
+        ),
+        "priors",
     )
-    joined = voted.join(
-        priors, voted["host"].eqNullSafe(priors["_host"]) & voted["domain"].eqNullSafe(priors["_domain"])
+    joined = scored.join(
+        priors, scored["host"].eqNullSafe(priors["_host"]) & scored["domain"].eqNullSafe(priors["_domain"])
     )
-    others = F.zip_with("_votes", "_vote", lambda a, b: F.greatest(a - b, F.lit(0.0)))
-    prior = F.zip_with(others, "_above", lambda a, b: (a + HOST_STRENGTH * b) / (F.col("_rows") - 1 + HOST_STRENGTH))
-    fused = F.zip_with("_evidence", F.when(F.col("host").isNull(), F.array(*[F.lit(x) for x in overall])).otherwise(prior), lambda a, b: a + F.log(b))
+
+    def fused(i: int) -> Column:
+        others = F.greatest(F.col(f"_v{i}") - F.col("_vote")[i], F.lit(0.0))
+        prior = (others + HOST_STRENGTH * F.col(f"_above{i}")) / (F.col("_rows") - 1 + HOST_STRENGTH)
+        return F.col("_evidence")[i] + F.log(F.when(F.col("host").isNull(), overall[i]).otherwise(prior))
+
+    logs = joined.withColumns({f"_log{i}": fused(i) for i in range(k)})
+    top = F.array_max(F.array(*[f"_log{i}" for i in range(k)]))
     names = F.array(*[F.lit(l) for l in [*known, UNDETERMINED]])
-    best = F.array_position("_chance", F.array_max("_chance")).cast("int")
-    has_text = F.coalesce(F.exists("_text_score", lambda x: x != 0), F.lit(False))
-    out = joined.withColumn("_chance", _chances(fused)).withColumns(
-        {
-            "language": F.element_at(names, best),
-            "probability": F.array_max("_chance"),
-        }
+    best = F.array_position(F.array(*[f"_log{i}" for i in range(k)]), F.col("_top")).cast("int")
+    raised = sum((F.exp(F.col(f"_log{i}") - F.col("_top")) for i in range(1, k)), F.exp(F.col("_log0") - F.col("_top")))
+    out = logs.withColumn("_top", top).withColumns(
+        {"language": F.element_at(names, best), "probability": F.lit(1.0) / raised}
+    )
+    accepted = F.col("_has_text") & (F.col("language") != UNDETERMINED) & (F.col("probability") >= accept)
+    return out.select(
+        *[c for c in scored.columns if c not in ("_has_text", "_evidence", "_vote")],
+        "language",
+        "probability",
+        accepted.alias("accepted"),
     )
-    return out.withColumn(
-        "accepted", has_text & (F.col("language") != UNDETERMINED) & (F.col("probability") >= accept)
-    ).drop("_text_score", "_evidence", "_vote", "_domain", "_host", "_votes", "_rows", "_above", "_chance")
 
 
 # Web pages ---------------------------------------------------------------------------------
@@ -226,9 +228,10 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:
-    """Documents as rows of evidence: `source` is the host, `lang` the declared language."""
+    """Documents as rows of evidence: `source` is the host, `lang` the declared language.
+    Their other columns come as `row`."""
     return docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*[c for c in docs.columns if c != "text"]).alias("row"),
         "text",
         F.col("source").alias("host"),
         F.lit(None).cast("string").alias("domain"),

@@ -53,8 +53,8 @@ def op2_language_id(spark: SparkSession, d: str) -> DataFrame:
     """Languages of all pages and of all documents; of the latter the source is the host."""
     docs = _documents(spark, d)
     model = fit(docs.select("text", "lang"))
-    pages = identify(page_evidence(spark.read.parquet(f"{d}/pages.parquet")), model)
-    found = identify(document_evidence(docs.select("doc_id", "text", "source", "lang")), model)
+    pages = identify(page_evidence(spark.read.parquet(f"{d}/pages.parquet")), model, keep_text=False)
+    found = identify(document_evidence(docs.select("doc_id", "text", "source", "lang")), model, keep_text=False)
     return pages.select(F.lit(None).cast("long").alias("doc_id"), "page_id", *RESULTS).unionByName(
         found.select("row.doc_id", F.lit(None).cast("long").alias("page_id"), *RESULTS)
     )
