@@ -21,7 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined, with that language as `lang`."""
     columns = docs.columns
     found = identify(document_evidence(docs), fit(docs.select("text", "lang"))).filter("accepted")
-    return found.select(*[found["language"].alias(c) if c == "lang" else found["row"][c].alias(c) for c in columns])
+    own = {"lang": found["language"], "text": found["text"]}
+    return found.select(*[own.get(c, found["row"][c]).alias(c) for c in columns])
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
