@@ -73,14 +73,21 @@ def trigram_cells(text: str | None) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> TextModel:
-    """Text models from `labelled` (`text, lang`): a sample of at most `rows` rows, chosen by
-    hash, and of each at most `chars` characters. Trigrams are counted on the executors; the
-    driver gets one count per language and cell."""
+    """Text models from `labelled` (`text, lang`): a sample of at most `rows` different texts,
+    chosen by hash, and of each at most `chars` characters. Only texts below a hash bound are
+    shuffled, about `rows` of them in a table of any size. Trigrams are counted on the
+    executors; the driver gets one count per language and cell."""
+    known = labelled.filter("lang IS NOT NULL")
+    share = min(1.0, rows / max(1, known.count()))
+    key = F.xxhash64("text", "lang")
     sample = (
-        labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-        .select("lang", F.substring("text", 1, chars).alias("text"))
-        .orderBy(F.xxhash64("text", "lang"), "lang", "text")
+        known.filter("text IS NOT NULL")
+        .select("lang", F.substring("text", 1, chars).alias("text"), key.alias("_key"))
+        .filter(F.col("_key") <= int(-(2**63) + share * (2**64 - 1025)))
+        .dropDuplicates(["_key"])
+        .orderBy("_key")
         .limit(rows)
+        .select("lang", "text")
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
