@@ -14,6 +14,7 @@ from cashwatch.llm.language import RESULTS, document_evidence, fit, identify, pa
 from cashwatch.llm.mixing import mix_sources
 from cashwatch.llm.multiindex import near_duplicates
 from cashwatch.llm.nearest import nearest_neighbours
+from cashwatch.llm.packing import packed
 from cashwatch.llm.pii import BASE, find_pii
 from cashwatch.llm.secrets import STRONG, find_secrets
 from cashwatch.llm.sharding import balanced_shards
@@ -122,6 +123,18 @@ def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packed(_documents(spark, d), vocabulary_path()).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("token_ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -135,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_mixing,
         op10_pii,
+        op11_packing,
     )
 }
 
