@@ -18,6 +18,8 @@ from cashwatch.llm.packing import packed
 from cashwatch.llm.pii import BASE, find_pii
 from cashwatch.llm.secrets import STRONG, find_secrets
 from cashwatch.llm.sharding import balanced_shards
+from cashwatch.llm.sql import ORACLE_SQL  # noqa: F401
+from cashwatch.llm.trie import conversation_trie
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = 24
@@ -135,6 +137,10 @@ def op11_packing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{d}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -149,7 +155,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_pii,
         op11_packing,
+        op12_conversation_trie,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}

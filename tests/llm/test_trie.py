@@ -1,0 +1,108 @@
+"""The conversation trie against SQL and against a plain trie."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from cashwatch.llm import trie
+from cashwatch.llm.queries import op12_conversation_trie
+from cashwatch.llm.sql import ORACLE_SQL
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+COLUMNS = "conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256".split(", ")
+
+
+def by_sql(source):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS {source}")
+    return sorted(con.execute(ORACLE_SQL["op12_conversation_trie"]).fetchall(), key=str)
+
+
+def rows_of(df):
+    assert df.columns == COLUMNS
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def plain(rows):
+    """From (conv_id, turn, role, text), node by node."""
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+            own[conv].append(((turn is not None, turn or 0, digest), (role, text)))
+    own = {c: [t for _, t in sorted(x, key=lambda y: y[0])] for c, x in own.items()}
+    whole = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (abs(c) % 100) * (1 if c >= 0 else -1)
+        whole[c] = tuple(own.get(base, [])[:h] + own[c][h:])
+    members = defaultdict(set)
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].add(c)
+    children, out = defaultdict(list), []
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children[node]
+        leaves[node] = sum(leaves[k] for k in below) or 1
+        saved[node] = (len(members[node]) - 1) * (len(node[-1][1]) if node else 0) + sum(saved[k] for k in below)
+    for node, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(whole[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(m), len(node), parent, len(m), len(children[node]), leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def random_rows(seed, convs=60, turns=14):
+    rng = random.Random(seed)
+    rows = []
+    for c in rng.sample([*range(0, 350), *range(-120, 0), 2**40], convs):
+        text = ["a", "b", "", None, "été", "long " * 9]
+        same = rng.random() < 0.4
+        for t in range(rng.randrange(turns)):
+            rows.append((c, None if rng.random() < 0.05 else t, rng.choice(["user", None]), "hello" if same else rng.choice(text)))
+    return rows + [(None, 0, "user", "x")]
+
+
+def test_whole_table_equals_sql(spark):
+    source = f"SELECT * FROM '{SF}/conversations.parquet'"
+    assert rows_of(op12_conversation_trie(spark, SF)) == by_sql(source)
+
+
+@pytest.mark.parametrize("seed, segment, block", [(1, 512, 8192), (2, 4, 7), (3, 1, 1), (4, 8, 30)])
+def test_random_tables_with_small_segments_and_blocks(spark, monkeypatch, seed, segment, block):
+    monkeypatch.setattr(trie, "SEGMENT", segment)
+    monkeypatch.setattr(trie, "BLOCK_ROWS", block)
+    monkeypatch.setattr(trie, "TURNS_SHIFT", 2)
+    monkeypatch.setattr(trie, "IDS_SHIFT", 3)
+    rows = random_rows(seed)
+    found = rows_of(trie.conversation_trie(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    assert found == plain(rows)
+
+
+def test_a_long_and_many_equal_conversations(spark):
+    rows = [(7, t, "user", f"turn {t}") for t in range(2000)] + [(9, t, "user", f"turn {t}") for t in range(1500)]
+    rows += [(c, t, "user", f"same {t}") for c in range(100, 400) for t in range(8)]
+    assert rows_of(trie.conversation_trie(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
+
+
+def test_edges(spark):
+    rows = [(1, None, None, None), (1, None, None, None), (1, 0, "user", ""), (2, 5, "user", "x" * 100_000), (2, 5, "user", "x" * 100_000), (3, 0, "", None)]
+    rows = rows + [(None, 1, "a", "b")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    clashing = df.withColumns({"depth": F.lit("x"), "n": F.lit(1), "p": F.lit(2), "conv": F.lit("y"), "digest": F.lit(0)})
+    assert rows_of(trie.conversation_trie(clashing)) == plain(rows)
+    assert trie.conversation_trie(df.limit(0)).count() == 0
+    assert trie.conversation_trie(df.filter("conv_id IS NULL")).count() == 0
