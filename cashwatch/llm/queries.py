@@ -16,6 +16,7 @@ from cashwatch.llm.multiindex import near_duplicates
 from cashwatch.llm.nearest import nearest_neighbours
 from cashwatch.llm.packing import packed
 from cashwatch.llm.pii import BASE, find_pii
+from cashwatch.llm.ranked import ranked_search
 from cashwatch.llm.secrets import STRONG, find_secrets
 from cashwatch.llm.sharding import balanced_shards
 from cashwatch.llm.sql import ORACLE_SQL  # noqa: F401
@@ -141,6 +142,10 @@ def op12_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
     return conversation_trie(spark.read.parquet(f"{d}/conversations.parquet"))
 
 
+def op13_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked_search(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -156,5 +161,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_pii,
         op11_packing,
         op12_conversation_trie,
+        op13_ranked_search,
     )
 }

@@ -52,4 +52,29 @@ SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n AS n_co
 FROM nodes n LEFT JOIN nodes u ON u.node = n.parent LEFT JOIN children k ON k.node = n.node JOIN subtrees s ON s.node = n.node
 """
 
-ORACLE_SQL: dict[str, str] = {"op12_conversation_trie": _TRIE}
+_TERMS = r"""unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
+
+_RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS doc, doc_id, text FROM documents),
+found AS (SELECT doc, {_TERMS} AS term FROM docs),
+counted AS (SELECT doc, term, count(*) AS tf FROM found GROUP BY doc, term),
+lengths AS (SELECT doc, sum(tf)::BIGINT AS n FROM counted GROUP BY doc),
+corpus AS (SELECT count(*) AS documents, sum(n)::BIGINT AS occurrences FROM lengths),
+wanted AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counted, corpus WHERE term IN (SELECT term FROM wanted) GROUP BY term
+), scaled AS (SELECT doc, 10 + (90 * n * documents) // occurrences AS m FROM lengths, corpus),
+scores AS (
+    SELECT q.item_id, c.doc, sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * s.m)))::BIGINT AS score
+    FROM wanted q JOIN weights w USING (term) JOIN counted c USING (term) JOIN scaled s USING (doc)
+    GROUP BY q.item_id, c.doc
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+FROM scores JOIN docs USING (doc) WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op12_conversation_trie": _TRIE, "op13_ranked_search": _RANKED}
