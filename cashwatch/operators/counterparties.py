@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cashwatch.functions.amounts import OUTFLOW, at_least, known_keys, ratio_or_zero
+from cashwatch.functions.amounts import OUTFLOW, at_least, known_keys, ratio_or_zero, signed_amount
 from cashwatch.operators.grains import counterparty_totals, day_gross
 
 _DAY_KEYS = ["value_date", "currency"]
-_SHARE_ORDER = ("cp_share", "counterparty_id")
+MOST_TOTALS = 1_000_000  # rows of 40 bytes that may be broadcast
 
 
 def counterparty_flows(df_tx: DataFrame) -> DataFrame:
@@ -35,16 +35,37 @@ def day_gross_total(df_tx: DataFrame) -> DataFrame:
     return df_tx.groupBy(*_DAY_KEYS).agg(day_gross().alias("total_gross_flow"))
 
 
+def totals_of_flows(df_flows: DataFrame) -> DataFrame:
+    """`day_gross_total` from already aggregated `counterparty_flows`."""
+    return df_flows.groupBy(*_DAY_KEYS).agg(F.sum("cp_gross_flow").alias("total_gross_flow"))
+
+
 def concentration_top_counterparties(df_tx: DataFrame, top_n: int, salts: int = 1) -> DataFrame:
     """The `top_n` counterparties by share of the day's gross flow, with top-1 and top-N shares.
 
-    `salts` above 1 cuts a day's counterparties into that many parts which are limited to
-    `top_n` rows each before they meet. It changes no row. Use it where `top_n` exceeds
-    `spark.sql.optimizer.windowGroupLimitThreshold`, beyond which tasks no longer limit rows
-    before the shuffle.
+    `salts` above 1 cuts a day's counterparties into that many parts which meet the day's total
+    without a broadcast and are limited to `top_n` rows each before they meet. It changes no row.
+    Use it where `top_n` exceeds `spark.sql.optimizer.windowGroupLimitThreshold`, beyond which
+    tasks no longer limit rows before the shuffle, or for more than `MOST_TOTALS` days and currencies.
     """
-    flows = counterparty_flows(df_tx).select(*_DAY_KEYS, "counterparty_id", "cp_net_flow", "cp_gross_flow")
-    return top_of_flows(flows, day_gross_total(df_tx), top_n, salts)
+    # Both sums are needed for the net, the gross and the day's total alike, so all three read one shuffle.
+    signed, nothing = signed_amount(), F.lit(0)
+    up = F.sum(F.when(signed > 0, signed).when(signed.isNotNull(), nothing))
+    down = F.sum(F.when(signed < 0, -signed).when(signed.isNotNull(), nothing))
+    sums = df_tx.groupBy(*_DAY_KEYS, "counterparty_id").agg(up.alias("_up"), down.alias("_down"))
+    net, gross = F.col("_up") - F.col("_down"), F.col("_up") + F.col("_down")
+    flows = sums.select(*_DAY_KEYS, "counterparty_id", net.alias("cp_net_flow"), gross.alias("cp_gross_flow"))
+    return top_of_flows(flows, totals_of_flows(flows), top_n, salts)
+
+
+def _few(df_day_totals: DataFrame) -> DataFrame:
+    """The totals, if they are few enough to be broadcast; else an error when it runs.
+
+    One row more than allowed is enough to tell, so the count never holds more than that."""
+    columns = df_day_totals.columns
+    counted = df_day_totals.limit(MOST_TOTALS + 1).withColumn("_rows", F.count("*").over(Window.partitionBy(F.lit(0))))
+    refusal = F.raise_error(F.lit(f"more than {MOST_TOTALS} days and currencies: pass salts"))
+    return counted.filter(F.when(F.col("_rows") <= MOST_TOTALS, F.lit(True)).otherwise(refusal.cast("boolean"))).select(*columns)
 
 
 def top_of_flows(df_flows: DataFrame, df_day_totals: DataFrame, top_n: int, salts: int = 1) -> DataFrame:
@@ -52,9 +73,11 @@ def top_of_flows(df_flows: DataFrame, df_day_totals: DataFrame, top_n: int, salt
 
     The total is joined first, so that the cut before the shuffle and the final rank go by the
     same share and then by the id: near ties that round to one share are cut as they are
-    ranked. Totals are one row per day and currency (a century in 30 currencies is a million
-    rows of 30 bytes), so they are broadcast and flows are not moved for it. A day and currency may hold a large part of all
-    counterparties, so they never meet in one task; each task keeps its own best rows first.
+    ranked. A day and currency may hold a large part of all counterparties, so they never meet in
+    one task; each task keeps its own best rows first. Totals are one row per day and currency (a
+    century in 20 currencies is 730,000 rows): up to `MOST_TOTALS` of them are broadcast, so that
+    flows are not moved for the join, and more raise an error that asks for `salts`, with which
+    flows join by day, currency and salt.
     """
     top_n, salts = int(top_n), int(salts)
     if salts < 1:
@@ -64,15 +87,18 @@ def top_of_flows(df_flows: DataFrame, df_day_totals: DataFrame, top_n: int, salt
     by_share = [share.desc(), F.col("counterparty_id")]
 
     # A NULL day or currency matches no total: its shares are 0.0 and only ids order its rows.
-    shared = df_flows.join(F.broadcast(df_day_totals), _DAY_KEYS, "left").withColumn(
-        "cp_share", ratio_or_zero(F.col("cp_gross_flow"), F.col("total_gross_flow"))
-    )
+    if salts > 1:
+        salted = df_flows.withColumn("_salt", F.pmod(F.xxhash64("counterparty_id"), F.lit(salts)))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+        joined = salted.join(df_day_totals.withColumn("_salt", every), [*_DAY_KEYS, "_salt"], "left")
+    else:
+        joined = df_flows.join(F.broadcast(_few(df_day_totals)), _DAY_KEYS, "left")
+    shared = joined.withColumn("cp_share", ratio_or_zero(F.col("cp_gross_flow"), F.col("total_gross_flow")))
     # Rank 1 is kept for the top-1 share even where no row is asked for.
     limit = max(top_n, 1)
     if salts > 1:
-        salted = shared.withColumn("_salt", F.pmod(F.xxhash64("counterparty_id"), F.lit(salts)))
         within = Window.partitionBy(*_DAY_KEYS, "_salt").orderBy(*by_share)
-        shared = salted.withColumn("_row", F.row_number().over(within)).filter(F.col("_row") <= limit).drop("_row", "_salt")
+        shared = shared.withColumn("_row", F.row_number().over(within)).filter(F.col("_row") <= limit).drop("_row", "_salt")
 
     day = Window.partitionBy(*_DAY_KEYS)
     best = shared.withColumn("cp_rank", F.row_number().over(day.orderBy(*by_share))).filter(rank <= limit)

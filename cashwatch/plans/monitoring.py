@@ -6,34 +6,27 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import partial
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cashwatch.operators.counterparties import (
     counterparty_flows,
-    counterparty_outflow,
-    day_gross_total,
     flag_concentration_anomaly,
     outflow_of_flows,
     top_of_flows,
+    totals_of_flows,
 )
 from cashwatch.operators.flows import intraday_time_bucket, maturity_ladder, net_cashflow_by_bucket
 from cashwatch.operators.grains import bucket_grain, counterparty_grain, day_totals, transaction_grains
-from cashwatch.operators.intraday import build_intraday_snapshot, flag_liquidity_drop_anomaly
+from cashwatch.operators.intraday import build_intraday_snapshot, day_moments, flag_liquidity_drop_anomaly
 from cashwatch.operators.limits import daily_limit_flags, limit_utilization
 from cashwatch.operators.liquidity import liquidity_base
 from cashwatch.operators.quality import dq_suite, transaction_counts
 from cashwatch.plans.daily import daily_snapshot
 from cashwatch.schemas import INPUT_TABLES
-from cashwatch.sources.tables import (
-    read_parquet,
-    run_together,
-    shared_folder,
-    stage,
-    write_parquet,
-    write_parquet_partitioned,
-)
+from cashwatch.sources.outputs import FolderOutputs, VersionedOutputs
+from cashwatch.sources.staging import Staging
+from cashwatch.sources.tables import read_parquet, run_together
 
 
 @dataclass(frozen=True)
@@ -62,44 +55,56 @@ OUTPUT_PARTITIONS = {
     "limit_utilization": ["value_date", "currency"],
 }
 
+# What later runs need of each day, one row per day and currency.
+STATE_TABLE = "intraday_state"
+
+
+class ChecksFailed(Exception):
+    """Quality checks that were to stop a run did not pass; `failed` has their names and details."""
+
+    def __init__(self, failed: list[tuple[str, str]]):
+        super().__init__(", ".join(f"{name}: {details}" for name, details in failed))
+        self.failed = failed
+
 
 def _of_dates(column: str, dates: Sequence[date] | None) -> Column:
     return F.lit(True) if dates is None else F.col(column).isin(list(dates))
 
 
-def _staged_frames(
-    tx: DataFrame, lim: DataFrame, settings: Settings, run_path: str, dates: Sequence[date] | None = None
+def _staged_sums(
+    tx: DataFrame, settings: Settings, work: Staging, dates: Sequence[date] | None = None, whole_history: bool = True
 ) -> dict[str, DataFrame]:
-    """Intraday, top and utilization frames from grains staged under `run_path`.
+    """Sums of transactions by bucket, counterparty and day, staged.
 
-    All dates come from one scan of `tx`. For chosen dates the bucket sums still cover the whole
-    history, with which a day's changes are compared, while counterparty sums read those dates.
+    All come from one scan, of the chosen dates alone where the other days' moments are stored.
+    Otherwise bucket sums cover the whole history and counterparty sums the chosen dates.
     """
     bucketed = intraday_time_bucket(tx, settings.timezone, settings.granularity)
-    if dates is None:
-        grains = stage(transaction_grains(bucketed), f"{run_path}/grains", ["grain"])
-        net, flows, totals = bucket_grain(grains), counterparty_grain(grains), day_totals(grains)
-    else:
-        chosen = tx.filter(_of_dates("value_date", dates))
-        net = stage(net_cashflow_by_bucket(bucketed), f"{run_path}/buckets")
-        flows = stage(counterparty_flows(chosen), f"{run_path}/flows")
-        totals = flows.groupBy("value_date", "currency").agg(F.sum("cp_gross_flow").alias("total_gross_flow"))
-    return _frames(net, flows, totals, outflow_of_flows(flows), lim, settings, dates)
+    chosen = _of_dates("value_date", dates)
+    if dates is None or not whole_history:
+        grains = work.stage(transaction_grains(bucketed.filter(chosen)), "grains", ["grain"])
+        return {"net": bucket_grain(grains), "flows": counterparty_grain(grains), "totals": day_totals(grains)}
+    net = work.stage(net_cashflow_by_bucket(bucketed), "buckets")
+    flows = work.stage(counterparty_flows(tx.filter(chosen)), "flows")
+    return {"net": net, "flows": flows, "totals": totals_of_flows(flows)}
 
 
 def _frames(
-    net: DataFrame,
-    flows: DataFrame,
-    totals: DataFrame,
-    outflow: DataFrame,
+    sums: dict[str, DataFrame],
     lim: DataFrame,
     settings: Settings,
     dates: Sequence[date] | None = None,
+    moments: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    flagged = flag_liquidity_drop_anomaly(build_intraday_snapshot(net), settings.z_threshold, settings.reset_daily)
+    """Intraday, top and utilization frames. `moments` are those of all days, where the sums are of some."""
+    snapshot = build_intraday_snapshot(sums["net"])
+    flagged = flag_liquidity_drop_anomaly(snapshot, settings.z_threshold, settings.reset_daily, moments)
+    outflow = outflow_of_flows(sums["flows"])
     return {
         "intraday_snapshots": flagged.filter(_of_dates("value_date", dates)),
-        "concentration_top_counterparties": top_of_flows(flows, totals, settings.top_n, settings.top_salts),
+        "concentration_top_counterparties": top_of_flows(
+            sums["flows"], sums["totals"], settings.top_n, settings.top_salts
+        ),
         "limit_utilization": limit_utilization(outflow, lim, settings.limit_warning, settings.limit_breach),
     }
 
@@ -127,22 +132,36 @@ def monitoring_frames(
 
     Transactions are scanned and shuffled once for all grains, and what feeds several outputs is
     written to a new folder under `staging_path`, or else under the session's checkpoint folder,
-    and read back. With `lazy` nothing runs yet, and each output scans the transactions for itself.
+    and read back. What the returned frames read stays there, and nothing else. With `lazy`
+    nothing runs yet, and each output scans the transactions for itself.
     """
     if lazy:
         net = net_cashflow_by_bucket(intraday_time_bucket(tx, settings.timezone, settings.granularity))
-        frames = _frames(net, counterparty_flows(tx), day_gross_total(tx), counterparty_outflow(tx), lim, settings)
+        flows = counterparty_flows(tx)
+        frames = _frames({"net": net, "flows": flows, "totals": totals_of_flows(flows)}, lim, settings)
     else:
-        run_path = f"{(staging_path or shared_folder(tx.sparkSession)).rstrip('/')}/monitoring-{uuid4().hex}"
-        lazy_frames = _staged_frames(tx, lim, settings, run_path)
-        names = list(lazy_frames)
-        written = run_together(
-            tx.sparkSession, *[partial(stage, lazy_frames[name], f"{run_path}/{name}") for name in names]
-        )
-        frames = dict(zip(names, written))
+        with Staging(tx.sparkSession, staging_path, "monitoring") as work:
+            lazy_frames = _frames(_staged_sums(tx, settings, work), lim, settings)
+            written = run_together(
+                tx.sparkSession, *[partial(work.stage, frame, name) for name, frame in lazy_frames.items()]
+            )
+            work.keep(*written)
+        frames = dict(zip(lazy_frames, written))
     return {**frames, "daily_snapshots": _daily(frames, bal, col, settings), "maturity_ladder": maturity_ladder(cf)}
 
 
+def _other_days(outputs: FolderOutputs | VersionedOutputs, settings: Settings, dates: Sequence[date]) -> DataFrame | None:
+    """Stored moments of all days but `dates`; None where some are missing or of other buckets."""
+    state = outputs.current(STATE_TABLE)
+    if state is None:
+        return None
+    same = (F.col("granularity") == settings.granularity) & F.col("timezone").eqNullSafe(F.lit(settings.timezone))
+    if not state.filter(~same).isEmpty():
+        return None
+    typed = state.withColumn("value_date", F.col("value_date").cast("date")).withColumn("currency", F.col("currency").cast("string"))
+    return typed.filter(~F.coalesce(_of_dates("value_date", dates), F.lit(False))).drop("granularity", "timezone")
+
+
 def run_monitoring(
     spark: SparkSession,
     raw_path: str,
@@ -150,52 +169,80 @@ def run_monitoring(
     settings: Settings = Settings(),
     staging_path: str | None = None,
     dates: Sequence[date] | None = None,
+    versioned: bool = False,
+    stop_on_failed_checks: bool = False,
 ) -> None:
     """Read the input tables under `raw_path`, write `dq_results` and the five outputs.
 
-    Without `dates` the dates present in the input are replaced. With them only those dates
-    are, from an input that holds the whole history: changes are compared with all of it, so a
-    date that is run again gets the values of the full run. Quality checks cover the whole input.
+    Without `dates` the dates present in the input are replaced. With them only those dates are
+    read and written. Changes are compared with the whole history all the same: each run stores,
+    per day and currency, the moments of its changes and its close (`intraday_state`), so a date
+    that is run again gets the values of a run over everything. Other dates keep theirs. Where
+    that state is missing, or of other buckets, such a run reads the whole history once. Quality
+    checks cover the rows that are read.
+
+    With `versioned`, readers (`read_output`) see all outputs change at one moment, at the end,
+    and dates that left the input are gone; a run that stops before leaves them on the old version.
+    With `stop_on_failed_checks` a failed check raises `ChecksFailed` before any output but
+    `dq_results` is written.
 
     Each output is written once; daily snapshots are derived from what was written. Staged sums
-    go to a new folder under `staging_path` or else under the session's checkpoint folder, and
-    stay there; how long to keep them is up to the owner of that folder.
+    go to a new folder under `staging_path` or else under the session's checkpoint folder, which
+    is deleted at the end.
     """
-    run_path = f"{(staging_path or shared_folder(spark)).rstrip('/')}/monitoring-{uuid4().hex}"
     tables = {
-        name: read_parquet(spark, f"{raw_path}/{name}", schema) for name, (schema, _) in INPUT_TABLES.items()
+        name: read_parquet(spark, f"{raw_path}/{name}", schema).filter(_of_dates(partition, dates))
+        for name, (schema, partition) in INPUT_TABLES.items()
     }
-    tx, cf, bal, col, lim = (tables[n] for n in ("transactions", "cashflows", "balances", "collateral", "limits"))
-
-    def of_dates(df: DataFrame, column: str) -> DataFrame:
-        return df.filter(_of_dates(column, dates))
-
-    # The scan for the sums also counts rows and NULLs for the checks: one row, to the driver.
-    counts = Observation()
-    counted = tx.observe(counts, *transaction_counts())
-    frames = _staged_frames(counted, of_dates(lim, "as_of_date"), settings, run_path, dates)
-    frames["maturity_ladder"] = maturity_ladder(of_dates(cf, "as_of_date"))
+    cf, bal, col, lim = (tables[n] for n in ("cashflows", "balances", "collateral", "limits"))
+    outputs = VersionedOutputs(spark, out_path) if versioned else FolderOutputs(spark, out_path)
+    others = None if dates is None else _other_days(outputs, settings, dates)
+    whole_history = dates is not None and others is None
+    tx = read_parquet(spark, f"{raw_path}/transactions", INPUT_TABLES["transactions"][0]) if whole_history else tables["transactions"]
 
     def write(name: str, frame: DataFrame) -> None:
         bounded = name != "limit_utilization"
-        write_parquet_partitioned(frame, f"{out_path}/{name}", OUTPUT_PARTITIONS[name], bounded)
-
-    def write_checks() -> None:
-        seen = counts.get
-        row = spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in seen.items()])
-        checks = dq_suite(tx, cf, bal, col, lim, max_tx_rows=settings.max_tx_rows, tx_counts=row)
-        write_parquet(checks, f"{out_path}/dq_results")
-
-    run_together(spark, write_checks, *[partial(write, name, frame) for name, frame in frames.items()])
-
-    # Dates of this run, as earlier runs may have left others in the outputs.
-    days = frames["intraday_snapshots"].select("value_date").distinct()
-
-    def written(name: str) -> DataFrame:
-        out = read_parquet(spark, f"{out_path}/{name}", frames[name].schema)
-        own = days.withColumnRenamed("value_date", "_day")
-        return out.join(own, F.col("value_date").eqNullSafe(F.col("_day")), "left_semi")
-
-    daily_inputs = ("intraday_snapshots", "limit_utilization", "concentration_top_counterparties")
-    daily = _daily({name: written(name) for name in daily_inputs}, of_dates(bal, "as_of_date"), of_dates(col, "as_of_date"), settings)
-    write("daily_snapshots", daily)
+        outputs.write(frame, name, OUTPUT_PARTITIONS[name], bounded)
+
+    with Staging(spark, staging_path, "monitoring") as work:
+        # The scan for the sums also counts rows and NULLs for the checks: one row, to the driver.
+        counts = Observation()
+        sums = _staged_sums(tx.observe(counts, *transaction_counts()), settings, work, dates, whole_history)
+        moments = day_moments(build_intraday_snapshot(sums["net"]))
+        # All days that the sums cover are stored; what they do not cover is stored already.
+        state = moments.withColumns(
+            {"granularity": F.lit(settings.granularity), "timezone": F.lit(settings.timezone).cast("string")}
+        )
+        frames = _frames(sums, lim, settings, dates, None if others is None else others.unionByName(moments))
+        frames["maturity_ladder"] = maturity_ladder(cf)
+
+        def write_checks() -> None:
+            seen = counts.get
+            row = spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in seen.items()])
+            checks = dq_suite(tx, cf, bal, col, lim, max_tx_rows=settings.max_tx_rows, tx_counts=row)
+            if not stop_on_failed_checks:
+                return outputs.write(checks, "dq_results")
+            checks = work.stage(checks, "checks")
+            outputs.write(checks, "dq_results")
+            failed = checks.filter("NOT passed").collect()  # eleven rows at most
+            if failed:
+                raise ChecksFailed([(r.check_name, r.details) for r in failed])
+
+        writes = [partial(write, name, frame) for name, frame in frames.items()]
+        if stop_on_failed_checks:
+            write_checks()
+        else:
+            writes.insert(0, write_checks)
+        run_together(spark, *writes)
+
+        # Dates of this run, as earlier runs may have left others in the outputs.
+        days = sums["net"].filter(_of_dates("value_date", dates)).select("value_date").distinct()
+        daily_inputs = ("intraday_snapshots", "limit_utilization", "concentration_top_counterparties")
+        daily = _daily({name: outputs.written(name, frames[name].schema, days) for name in daily_inputs}, bal, col, settings)
+        run_together(
+            spark,
+            partial(write, "daily_snapshots", daily),
+            # Rows of other days are written only where they were not stored before.
+            partial(outputs.write, state, STATE_TABLE, ["value_date"], True),
+        )
+        outputs.commit(dates)

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from cashwatch.operators import counterparties
 from cashwatch.operators.counterparties import (
     concentration_top_counterparties,
     counterparty_flows,
@@ -195,3 +196,20 @@ def test_shares_of_a_day_sum_to_one(spark):
     top = concentration_top_counterparties(transactions(spark, random_rows()), 500)
     sums = top.groupBy("value_date", "currency").agg(F.sum("cp_share").alias("s")).collect()
     assert [r.s for r in sums] == pytest.approx([1.0] * len(sums))
+
+
+def test_flows_and_totals_come_from_one_scan(spark, tmp_path, plan):
+    transactions(spark, random_rows(300)).write.parquet(str(tmp_path / "tx"))
+    top = concentration_top_counterparties(spark.read.parquet(str(tmp_path / "tx")), 3)
+    top.collect()
+    final = plan(top).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_too_many_totals_for_a_broadcast_ask_for_salts(spark, monkeypatch):
+    monkeypatch.setattr(counterparties, "MOST_TOTALS", 1)
+    rows = [(at(9), "CP1", "IN", 5.0, DAY, c) for c in ("THB", "USD", "EUR")]
+    with pytest.raises(Exception, match="pass salts"):
+        concentration_top_counterparties(transactions(spark, rows), 3).collect()
+    salted = concentration_top_counterparties(transactions(spark, rows), 3, salts=2)
+    assert [r.cp_share for r in salted.collect()] == [1.0, 1.0, 1.0]
