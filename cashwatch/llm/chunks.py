@@ -2,14 +2,15 @@
 
 A text's bytes are cut where the gear hash of the last 32 bytes has six given bits zero, at
 least 32 bytes after the cut before. Cuts follow the content, so an insertion moves only the
-chunks around it. Chunks are compared by digest over all documents; the first occurrence (by
-smallest document, then place) stays and later ones count as repeated. Runs of repeated chunks
-of at least `least_chars` characters are reported, shorter ones are chance.
+chunks around it. Chunks are compared by digest over all documents. A chunk that another document
+holds too is repeated, in every document that holds it. Runs of repeated chunks of at least
+`least_chars` characters are reported, shorter ones are chance. Of each digest the first
+occurrence (by smallest document, then place) stays, and later ones can be removed.
 
 Defined cases: a null or empty text has no chunks; a text without a cut is one chunk, however
-long; repeats within one text count; rows with equal or null ids are documents of their own,
-ordered by id (nulls first), then by place in the input; an empty table gives an empty result;
-other columns are ignored.
+long; what repeats within one text alone is not repeated; rows with equal or null ids are
+documents of their own, ordered by id (nulls first), then by place in the input; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from cashwatch.llm.common import staged, text_portions
 
 MASK = np.uint32(0b111111 << 26)
 LEAST_BYTES = 32
-LEAST_CHARS = 100
+LEAST_CHARS = 150
 BYTES_AT_ONCE = 2_000_000
 
 
@@ -102,41 +103,47 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 
 
 def repeated_substrings(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """`doc_id, n_chunks, n_repeated, repeated_chars, spans` of every row of `docs`
-    (`doc_id, text`). `spans` are the repeated runs, `(start, end)` in code points."""
+    """`doc_id, n_chunks, n_repeated, repeated_chars, removable_chars, spans` of every row of
+    `docs` (`doc_id, text`). `spans` are the repeated runs, `(start, end)` in code points."""
     chunks = chunk_table(docs)
     place = F.struct("doc_id", "doc_row", "start")
     # Written, so that the join deals the chunks out anew and can split a frequent digest's rows.
-    first = staged(
+    held = staged(
         chunks.filter("digest IS NOT NULL")
         .groupBy("digest")
-        .agg(F.count("*").alias("copies"), F.min(place).alias("first"))
-        .filter("copies > 1")
+        .agg(F.min("doc_row").alias("low"), F.max("doc_row").alias("high"), F.min(place).alias("first"))
+        .filter("low <> high")
         .select("digest", "first"),
-        "first-chunks",
+        "held-chunks",
     )
-    later = chunks.join(first, "digest").filter(~place.eqNullSafe(F.col("first")))
+    size = (F.col("stop") - F.col("start")).cast("long")
+    later = F.when(place.eqNullSafe(F.col("first")), F.lit(0).cast("long")).otherwise(size)
+    repeated = chunks.join(held, "digest").select("doc_row", "start", "stop", later.alias("later"))
     by_place = Window.partitionBy("doc_row").orderBy("start", "stop")
     opens = F.when(F.col("start") == F.lag("stop").over(by_place), 0).otherwise(1)
     run = F.sum("_opens").over(by_place.rowsBetween(Window.unboundedPreceding, 0))
     runs = (
-        later.select("doc_row", "start", "stop")
-        .withColumn("_opens", opens)
+        repeated.withColumn("_opens", opens)
         .withColumn("_run", run)
         .groupBy("doc_row", "_run")
-        .agg(F.min("start").alias("start"), F.max("stop").alias("end"), F.count("*").alias("chunks"))
+        .agg(
+            F.min("start").alias("start"),
+            F.max("stop").alias("end"),
+            F.count("*").alias("chunks"),
+            F.sum("later").alias("later"),
+        )
         .filter(F.col("end") - F.col("start") >= least_chars)
     )
     spans = runs.groupBy("doc_row").agg(
         F.sum("chunks").alias("n_repeated"),
         F.sum(F.col("end") - F.col("start")).cast("long").alias("repeated_chars"),
+        F.sum("later").alias("removable_chars"),
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"),
     )
     per_doc = chunks.groupBy("doc_row", "doc_id").agg(F.count("digest").alias("n_chunks"))
     return per_doc.join(spans, "doc_row", "left").select(
         "doc_id",
         "n_chunks",
-        F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"),
-        F.coalesce("repeated_chars", F.lit(0)).alias("repeated_chars"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_repeated", "repeated_chars", "removable_chars")],
         F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
     )

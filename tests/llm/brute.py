@@ -124,15 +124,45 @@ def usable(vector):
     return vector is not None and len(vector) > 0 and bool(np.isfinite(np.array(vector, float)).all()) and any(vector)
 
 
-def shift_free_chunks(text):
-    """Chunks by the definition of the gear hash, byte by byte."""
-    from cashwatch.llm.chunks import LEAST_BYTES, MASK, gear_table
-
-    gear = [int(g) for g in gear_table()]
-    raw, out, last, h = (text or "").encode("utf-8"), [], 0, 0
+def gear_chunks(text):
+    """Chunks as (bytes, start, end in characters), by the definition, byte by byte: cuts where the
+    top six bits of the gear hash are zero, 32 bytes after the last cut at the earliest."""
+    gear = [int(g) for g in np.random.default_rng(7).integers(0, 2**32, 256, dtype=np.uint32)]
+    raw, ends, last, h = (text or "").encode("utf-8"), [], 0, 0
     for i, b in enumerate(raw):
-        h = (2 * h + gear[b]) % (1 << 32)
-        if h & int(MASK) == 0 and i + 1 - last >= LEAST_BYTES:
-            out.append(raw[last : i + 1])
+        h = (2 * h + gear[b]) % 2**32
+        if h >> 26 == 0 and i + 1 - last >= 32:
+            ends.append(i + 1)
             last = i + 1
-    return [*out, raw[last:]] if last < len(raw) else out
+    if last < len(raw):
+        ends.append(len(raw))
+    starts = [0, *ends[:-1]]
+    # A character whose bytes a cut parts counts to the chunk that holds its first byte.
+    upto = [0]
+    for b in raw:
+        upto.append(upto[-1] + (b & 0xC0 != 0x80))
+    return [(raw[a:b], upto[a], upto[b]) for a, b in zip(starts, ends)]
+
+
+def repeated_runs(rows, least=150):
+    """`rows` of (id, text) to (chunks, repeated, repeated characters, removable ones, spans) of each,
+    ordered by id and place. A chunk counts where another row holds it too."""
+    cut = [gear_chunks(t) for _, t in rows]
+    holders, first = {}, {}
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i)):
+        for raw, start, _ in cut[i]:
+            holders.setdefault(raw, set()).add(i)
+            first.setdefault(raw, (i, start))
+    out = []
+    for i, chunks in enumerate(cut):
+        runs = []
+        for raw, start, end in chunks:
+            if len(holders[raw]) > 1:
+                later = 0 if first[raw] == (i, start) else end - start
+                if runs and runs[-1][1] == start:
+                    runs[-1] = (runs[-1][0], end, runs[-1][2] + 1, runs[-1][3] + later)
+                else:
+                    runs.append((start, end, 1, later))
+        runs = [r for r in runs if r[1] - r[0] >= least]
+        out.append((len(chunks), sum(r[2] for r in runs), sum(r[1] - r[0] for r in runs), sum(r[3] for r in runs), [r[:2] for r in runs]))
+    return out

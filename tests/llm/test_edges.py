@@ -158,10 +158,23 @@ def test_insertions_shift_few_chunks(spark):
     shared = " ".join(f"word{i * i}" for i in range(200))
     rows = [(1, shared), (2, "something new first " + shared), (3, "x" * 5000), (4, None)]
     found = {r["doc_id"]: r for r in repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found[1]["repeated_chars"] == 0 and found[2]["repeated_chars"] > 0.8 * len(shared)
+    assert 0.8 * len(shared) < found[1]["repeated_chars"] == found[2]["repeated_chars"]
+    assert found[1]["removable_chars"] == 0 and found[2]["removable_chars"] == found[2]["repeated_chars"]
     assert found[4]["n_chunks"] == 0
 
 
+def test_repeats_within_one_text_need_another_document(spark):
+    passage = " ".join(f"word{i * i}" for i in range(120)) + " "
+    rows = [(1, passage * 3), (2, "alone"), (2, None), (None, "ü" * 400 + passage), (5, passage + "é end")]
+    frame = spark.createDataFrame(rows[:3], "doc_id long, text string")
+    assert [r["n_repeated"] for r in repeated_substrings(frame).collect()] == [0, 0, 0]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).withColumn("digest", F.lit(1))
+    found = repeated_substrings(frame).collect()
+    expected = brute.repeated_runs(rows)
+    own = sorted(([r["n_chunks"], r["n_repeated"], r["repeated_chars"], r["removable_chars"], [tuple(x) for x in r["spans"]]] for r in found), key=str)
+    assert own == sorted((list(e) for e in expected), key=str)
+
+
 def test_language_without_evidence_is_rejected(spark):
     docs = documents(spark)
     labelled = spark.createDataFrame(
