@@ -15,7 +15,8 @@ def _check(name: str, passed: Column, details: Column) -> list[Column]:
     return [F.lit(name).alias("check_name"), passed.alias("passed"), details.alias("details")]
 
 
-def _counts(cols: Sequence[str]) -> list[Column]:
+def count_columns(cols: Sequence[str]) -> list[Column]:
+    """Aggregates that the checks on NULLs and row counts need."""
     # Plain counts, not counts of a condition: sources that push aggregates down answer
     # them from file statistics without reading a row.
     return [F.count("*").alias("_rows"), *[F.count(c).alias(f"_known_{i}") for i, c in enumerate(cols)]]
@@ -40,12 +41,37 @@ def _rowcount_verdict(low: int, high: int, name: str) -> list[Column]:
 
 def check_no_nulls(df: DataFrame, cols: Sequence[str], check_name: str) -> DataFrame:
     """Passes when no listed column has a NULL; an empty table passes."""
-    return df.agg(*_counts(cols)).select(*_null_verdict(cols, check_name))
+    return df.agg(*count_columns(cols)).select(*_null_verdict(cols, check_name))
 
 
-def check_rowcount_between(df: DataFrame, low: int, high: int, check_name: str) -> DataFrame:
-    """Passes when the row count is within the inclusive bounds."""
-    return df.agg(F.count("*").alias("_rows")).select(*_rowcount_verdict(low, high, check_name))
+def check_rowcount_between(
+    df: DataFrame, low: int, high: int, check_name: str, df_counts: DataFrame | None = None
+) -> DataFrame:
+    """Passes when the row count is within the inclusive bounds.
+
+    `df_counts`, one row of counts (`cashwatch.sources.statistics.table_counts`), spares the scan."""
+    counts = df.agg(F.count("*").alias("_rows")) if df_counts is None else df_counts
+    return counts.select(*_rowcount_verdict(low, high, check_name))
+
+
+def check_files_complete(df: DataFrame, cols: Sequence[str], check_name: str) -> DataFrame:
+    """Passes when every file of `df`, a Parquet table as it is read, holds each listed column.
+
+    Under a declared schema a column that a file lacks reads as NULL in all its rows, and sums
+    pass over it in silence. Files are told apart by their path; each task counts its own first.
+    `details` has the number of files without a value, by column.
+    """
+    known = [F.count(c).alias(f"_known_{i}") for i, c in enumerate(cols)]
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(*known)
+    without = [F.count_if(F.col(f"_known_{i}") == 0).alias(f"_without_{i}") for i, _ in enumerate(cols)]
+    found = [
+        F.when(F.col(f"_without_{i}") > 0, F.concat(F.lit(f"'{c}': "), F.col(f"_without_{i}").cast("string")))
+        for i, c in enumerate(cols)
+    ]
+    bad = F.array_compact(F.array(*found))
+    clean = F.size(bad) == 0
+    text = F.concat(F.lit("files_without={"), F.array_join(bad, ", "), F.lit("}"))
+    return per_file.agg(*without).select(*_check(check_name, clean, F.when(clean, F.lit("ok")).otherwise(text)))
 
 
 def check_no_duplicates(df: DataFrame, key_cols: Sequence[str], check_name: str) -> DataFrame:
@@ -69,7 +95,7 @@ _TX_KNOWN = ["tx_id", "event_ts", "value_date", "account_id", "currency", "direc
 
 def transaction_counts() -> list[Column]:
     """Row and non-NULL counts of transactions, to be observed on a scan made for something else."""
-    return _counts(_TX_KNOWN)
+    return count_columns(_TX_KNOWN)
 
 
 def check_nulls_and_rowcount(
@@ -88,7 +114,7 @@ def check_nulls_and_rowcount(
         F.struct(*_null_verdict(cols, nulls_name)),
         F.struct(*_rowcount_verdict(low, high, rowcount_name)),
     ]
-    counts = df.agg(*_counts(cols)) if df_counts is None else df_counts
+    counts = df.agg(*count_columns(cols)) if df_counts is None else df_counts
     return counts.select(F.inline(F.array(*verdicts)))
 
 

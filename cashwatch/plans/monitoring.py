@@ -42,6 +42,7 @@ class Settings:
     concentration_share: float = 0.20
     limit_warning: float = 0.90
     limit_breach: float = 1.00
+    limit_split_rows: int | None = None
     max_tx_rows: int = 10_000_000
 
 
@@ -105,7 +106,9 @@ def _frames(
         "concentration_top_counterparties": top_of_flows(
             sums["flows"], sums["totals"], settings.top_n, settings.top_salts
         ),
-        "limit_utilization": limit_utilization(outflow, lim, settings.limit_warning, settings.limit_breach),
+        "limit_utilization": limit_utilization(
+            outflow, lim, settings.limit_warning, settings.limit_breach, settings.limit_split_rows
+        ),
     }
 
 

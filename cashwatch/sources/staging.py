@@ -49,19 +49,26 @@ class Staging:
         self._kept.update(self._tables[id(t)][1] for t in tables)
         return tables[0]
 
+    def adopt(self, other: Staging) -> None:
+        """Take over the tables that another scope kept."""
+        for key, (table, path) in other._tables.items():
+            if path in other._kept:
+                self._tables[key] = (table, path)
+
     def release(self, *tables: DataFrame) -> None:
-        """Delete tables of this scope that nothing will read again."""
+        """Delete tables of this scope that nothing will read again; others are left alone."""
         for table in tables:
-            _, path = self._tables.pop(id(table))
-            delete_folder(self.spark, path)
+            _, path = self._tables.pop(id(table), (None, None))
+            if path is not None:
+                delete_folder(self.spark, path)
 
     def close(self) -> None:
         """Delete all tables that are not kept."""
         if self._kept:
             self.release(*[t for t, path in self._tables.values() if path not in self._kept])
         else:
+            self.release(*[t for t, _ in self._tables.values()])
             delete_folder(self.spark, self.path)
-            self._tables.clear()
 
     def __enter__(self) -> Staging:
         return self

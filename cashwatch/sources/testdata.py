@@ -105,15 +105,23 @@ def collateral(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(frame, COLLATERAL)
 
 
-def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order value per day, counterparty, currency and limit type, scaled to the outflows.
-    Many counterparties have no settlement limit on a day."""
-    keyed = _table(spark, sf_dir, "orders").selectExpr(
+def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").selectExpr(
         f"{_day('o_orderkey')} AS as_of_date",
         f"{_counterparty('o_custkey div 10', 'o_custkey % 10 = 0')} AS counterparty_id",
         "element_at(array('intraday', 'settlement', 'credit'), CAST(o_orderkey div 60 % 3 AS INT) + 1) AS limit_type",
         f"{_currency('o_orderkey div 30 % 2 = 0')} AS currency",
         "o_totalprice",
     )
-    totals = keyed.groupBy("as_of_date", "counterparty_id", "limit_type", "currency").sum("o_totalprice")
+
+
+def limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order value per day, counterparty, currency and limit type, scaled to the outflows.
+    Many counterparties have no settlement limit on a day."""
+    totals = _keyed_orders(spark, sf_dir).groupBy("as_of_date", "counterparty_id", "limit_type", "currency").sum("o_totalprice")
     return conform(totals.selectExpr("*", "`sum(o_totalprice)` * 0.0004D + 200 AS limit_amount"), LIMITS)
+
+
+def order_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a limit, so that a key is listed once for each of its orders."""
+    return conform(_keyed_orders(spark, sf_dir).selectExpr("*", "o_totalprice * 0.0004D + 200 AS limit_amount"), LIMITS)

@@ -68,17 +68,18 @@ _COMMON = {
                (p_size % 21) / 100.0::DOUBLE AS haircut_pct,
                CAST(CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE 1 END AS INTEGER) AS eligible_lcr
         FROM part""",
-    "lim": f"""
+    "lim_rows": f"""
+        SELECT {_day("o_orderkey")} AS as_of_date,
+               CASE WHEN o_custkey % 10 = 0 THEN 'CP000000'
+                    ELSE {_pad("CP", "(o_custkey // 10 + 1)", 6)} END AS counterparty_id,
+               CASE (o_orderkey // 60) % 3 WHEN 0 THEN 'intraday' WHEN 1 THEN 'settlement'
+                    ELSE 'credit' END AS limit_type,
+               {_currency("(o_orderkey // 30) % 2 = 0")} AS currency, o_totalprice
+        FROM orders""",
+    "lim": """
         SELECT as_of_date, counterparty_id, limit_type, currency,
                sum(o_totalprice) * 0.0004::DOUBLE + 200 AS limit_amount
-        FROM (SELECT {_day("o_orderkey")} AS as_of_date,
-                     CASE WHEN o_custkey % 10 = 0 THEN 'CP000000'
-                          ELSE {_pad("CP", "(o_custkey // 10 + 1)", 6)} END AS counterparty_id,
-                     CASE (o_orderkey // 60) % 3 WHEN 0 THEN 'intraday' WHEN 1 THEN 'settlement'
-                          ELSE 'credit' END AS limit_type,
-                     {_currency("(o_orderkey // 30) % 2 = 0")} AS currency, o_totalprice
-              FROM orders)
-        GROUP BY as_of_date, counterparty_id, limit_type, currency""",
+        FROM lim_rows GROUP BY as_of_date, counterparty_id, limit_type, currency""",
     "txb": """
         SELECT *, date_trunc('hour', event_ts) AS bucket_start_ts,
                CASE WHEN direction = 'IN' THEN amount ELSE -amount END AS signed_amount
@@ -311,6 +312,18 @@ _SELECTS = {
     "daily_snapshot_lazy": _DAILY,
     "monitoring_written": _DAILY,
     "monitoring_rerun": _DAILY,
+    "monitoring_versioned": _DAILY,
+    "net_cashflow_stream": f"""
+        SELECT value_date, currency, bucket_start_ts, {_money("net_cashflow", "inflow", "outflow")}, tx_count FROM net
+        WHERE bucket_start_ts + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM tx) - INTERVAL 2 HOUR""",
+    "limit_utilization_split": """
+        SELECT o.value_date, o.currency, o.counterparty_id, round(max(cp_outflow), 2) + 0.0 AS cp_outflow,
+               count(limit_amount) AS n_limits, round(max(cp_outflow / limit_amount), 6) + 0.0 AS max_utilization,
+               round(min(cp_outflow / limit_amount), 6) + 0.0 AS min_utilization
+        FROM outflows o LEFT JOIN (
+            SELECT as_of_date AS value_date, currency, counterparty_id, o_totalprice * 0.0004::DOUBLE + 200 AS limit_amount
+            FROM lim_rows WHERE limit_type = 'settlement') USING (value_date, currency, counterparty_id)
+        GROUP BY o.value_date, o.currency, o.counterparty_id""",
     "hash_assignment": """
         SELECT o_orderkey, o_orderkey % 7 AS key_group, 'true' AS in_range, 'true' AS stays FROM orders""",
     "transaction_grains": f"""
@@ -333,7 +346,26 @@ _SELECTS = {
     "dq_rowcount": _rowcount("tx", 1, 10_000_000, "tx_volume_sanity")
     + " UNION ALL "
     + _rowcount("tx", 1, 10, "tx_volume_tiny"),
+    "dq_rowcount_footers": _rowcount("events", 1, 10, "events_volume_tiny")
+    + " UNION ALL "
+    + _rowcount("events", 1, 10_000_000, "events_volume_sanity")
+    + " UNION ALL "
+    + _nulls("events", ["event_id", "value"], "events_no_nulls"),
+    "dq_files": """
+        SELECT 'tx_files_complete' AS check_name, CAST(count(*) = 0 AS VARCHAR) AS passed,
+               CASE WHEN count(*) = 0 THEN 'ok' ELSE 'files_without={''amount'': 1}' END AS details
+        FROM tx WHERE CAST(tx_id AS BIGINT) % 2 = 1
+        UNION ALL SELECT 'tx_files_named', 'true', 'ok'""",
     "dq_suite": " UNION ALL ".join(_DQ_SUITE),
+    "balance_carried": """
+        SELECT value_date, account_id, currency, round(last_value(balance IGNORE NULLS) OVER (
+            PARTITION BY account_id, currency ORDER BY value_date ROWS UNBOUNDED PRECEDING), 2) + 0.0 AS balance
+        FROM (SELECT account_id, c.currency, first + CAST(i AS INTEGER) AS value_date
+              FROM (SELECT DISTINCT account_id FROM bal), (VALUES ('THB'), ('USD')) AS c(currency),
+                   (SELECT first, unnest(range(last - first + 1)) AS i
+                    FROM (SELECT min(as_of_date) AS first, max(as_of_date) AS last FROM bal)))
+        LEFT JOIN (SELECT as_of_date AS value_date, account_id, currency, balance FROM bal)
+        USING (value_date, account_id, currency)""",
     "calendar_spine": """
         SELECT value_date, account_id, currency, balance
         FROM (SELECT account_id, c.currency, first + CAST(i AS INTEGER) AS value_date
@@ -369,6 +401,8 @@ _NO_DATES = {
     "dq_nulls",
     "dq_duplicates",
     "dq_rowcount",
+    "dq_rowcount_footers",
+    "dq_files",
     "dq_suite",
     "padded_keys",
     "hash_assignment",

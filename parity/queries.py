@@ -18,8 +18,9 @@ from cashwatch.functions.keys import hash_assign, key_assign, padded_key
 from cashwatch.operators import counterparties, flows, grains, intraday, limits, liquidity, quality, spine
 from cashwatch.plans.daily import with_anomaly_flags
 from cashwatch.plans.monitoring import Settings, monitoring_frames, run_monitoring
-from cashwatch.schemas import INPUT_TABLES
-from cashwatch.sources import tables, testdata
+from cashwatch.schemas import INPUT_TABLES, TRANSACTIONS
+from cashwatch.sources import outputs, statistics, tables, testdata
+from cashwatch.streaming import flows as stream_flows
 
 Z = 3.0
 TOP_N = 3
@@ -49,6 +50,10 @@ def ratio(name: str) -> Column:
     return F.round(name, 6).alias(name)
 
 
+def money_of(value: Column) -> Column:
+    return F.round(value, 2)
+
+
 def text(name: str) -> Column:
     return F.col(name).cast("string").alias(name)
 
@@ -284,6 +289,19 @@ def limit_utilization(spark: SparkSession, d: str) -> DataFrame:
     return _show_utilization(_utilization(spark, d))
 
 
+def limit_utilization_split(spark: SparkSession, d: str) -> DataFrame:
+    """Every order as a limit of its own, so that many keys are listed more than once, and keys of
+    more than two rows dealt to several pieces."""
+    outflow = counterparties.counterparty_outflow(testdata.transactions(spark, d))
+    listed = testdata.order_limits(spark, d)
+    return limits.limit_utilization(outflow, listed, WARNING, BREACH, split_rows=2).groupBy(*DAY, "counterparty_id").agg(
+        money_of(F.max("cp_outflow")).alias("cp_outflow"),
+        F.count("limit_amount").alias("n_limits"),
+        F.round(F.max("utilization"), 6).alias("max_utilization"),
+        F.round(F.min("utilization"), 6).alias("min_utilization"),
+    )
+
+
 def daily_limit_flags(spark: SparkSession, d: str) -> DataFrame:
     return limits.daily_limit_flags(_utilization(spark, d)).select(
         *DAY, text("flag_limit_warning_any"), text("flag_limit_breach_any"), ratio("max_utilization")
@@ -421,6 +439,33 @@ def dq_rowcount(spark: SparkSession, d: str) -> DataFrame:
     return checks.withColumn("passed", text("passed"))
 
 
+def dq_rowcount_footers(spark: SparkSession, d: str) -> DataFrame:
+    """The same checks on events, whose counts come from the files' footers."""
+    path = f"{d}/events.parquet"
+    counts = statistics.table_counts(spark, path, ["event_id", "value"])
+    events = spark.read.parquet(path)
+    checks = quality.check_rowcount_between(events, 1, 10, "events_volume_tiny", counts).unionByName(
+        quality.check_nulls_and_rowcount(
+            events, ["event_id", "value"], "events_no_nulls", 1, 10_000_000, "events_volume_sanity", counts
+        )
+    )
+    return checks.withColumn("passed", text("passed"))
+
+
+def dq_files(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions of odd ids in a file that lacks their amounts: the file is reported."""
+    path = f"{scratch_dir(spark)}/files"
+    tx = testdata.transactions(spark, d)
+    odd = F.substring("tx_id", -1, 1).isin("1", "3", "5", "7", "9")
+    tx.filter(~odd).coalesce(1).write.parquet(path)
+    tx.filter(odd).drop("amount").coalesce(1).write.mode("append").parquet(path)
+    read = tables.read_parquet(spark, path, TRANSACTIONS)
+    checks = quality.check_files_complete(read, ["tx_id", "amount"], "tx_files_complete").unionByName(
+        quality.check_files_complete(read, ["tx_id"], "tx_files_named")
+    )
+    return checks.withColumn("passed", text("passed"))
+
+
 def dq_suite(spark: SparkSession, d: str) -> DataFrame:
     return quality.dq_suite(*_inputs(spark, d)).withColumn("passed", text("passed"))
 
@@ -437,6 +482,13 @@ def calendar_spine(spark: SparkSession, d: str) -> DataFrame:
     return filled.select("value_date", "account_id", "currency", "balance")
 
 
+def balance_carried(spark: SparkSession, d: str) -> DataFrame:
+    """`calendar_spine` with every gap after a balance filled by that balance."""
+    filled = calendar_spine(spark, d)
+    carried = spine.carry_forward(filled, ["account_id", "currency"], ["balance"], range_days=7)
+    return carried.select("value_date", "account_id", "currency", money("balance"))
+
+
 def padded_keys(spark: SparkSession, d: str) -> DataFrame:
     """A width of 3 is too short for many of the ids, which must stay whole."""
     orders = spark.read.parquet(f"{d}/orders.parquet")
@@ -508,6 +560,27 @@ def monitoring_rerun(spark: SparkSession, d: str) -> DataFrame:
     return _written_daily(spark, f"{base}/out")
 
 
+def monitoring_versioned(spark: SparkSession, d: str) -> DataFrame:
+    """The daily snapshots as readers see them after a versioned run and one day run again."""
+    base = scratch_dir(spark)
+    raw = _written_inputs(spark, d, base)
+    run_monitoring(spark, raw, f"{base}/out", SETTINGS, base, versioned=True)
+    run_monitoring(spark, raw, f"{base}/out", SETTINGS, base, dates=[date(2024, 1, 15)], versioned=True)
+    daily = outputs.read_output(spark, f"{base}/out", "daily_snapshots")
+    return _show_daily(daily.withColumn("value_date", F.col("value_date").cast("date")))
+
+
+def net_cashflow_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Transaction files as a stream: every hour that ends two hours before the newest event."""
+    base = scratch_dir(spark)
+    testdata.transactions(spark, d).write.parquet(f"{base}/tx")
+    emitted = stream_flows.net_cashflow_stream(stream_flows.transaction_stream(spark, f"{base}/tx", TRANSACTIONS))
+    stream_flows.write_stream(emitted, f"{base}/net", f"{base}/checkpoint").awaitTermination()
+    return tables.read_parquet(spark, f"{base}/net", emitted.schema).select(
+        *DAY, moment("bucket_start_ts"), money("net_cashflow"), money("inflow"), money("outflow"), "tx_count"
+    )
+
+
 def monitoring_run(spark: SparkSession, d: str) -> DataFrame:
     """Write the five input tables, run the whole job on them, count and sum what it wrote."""
     base = scratch_dir(spark)
@@ -574,6 +647,7 @@ QUERIES: dict[str, Query] = {
         concentration_flags_top_n,
         counterparty_outflow,
         limit_utilization,
+        limit_utilization_split,
         daily_limit_flags,
         bucketed_limit_utilization,
         balance_total,
@@ -584,13 +658,18 @@ QUERIES: dict[str, Query] = {
         daily_snapshot_staged,
         daily_snapshot_lazy,
         monitoring_rerun,
+        monitoring_versioned,
+        net_cashflow_stream,
         monitoring_written,
         transaction_grains,
         dq_nulls,
         dq_duplicates,
         dq_rowcount,
+        dq_rowcount_footers,
+        dq_files,
         dq_suite,
         calendar_spine,
+        balance_carried,
         padded_keys,
         hash_assignment,
         partitioned_roundtrip,

@@ -50,7 +50,7 @@ def test_same_rows_as_sql(spark, con, name):
 
 EAGER = {
     "monitoring_run", "monitoring_written", "monitoring_rerun", "partitioned_roundtrip", "bucketed_limit_utilization",
-    "daily_snapshot", "daily_snapshot_staged", "anomaly_flags",
+    "daily_snapshot", "daily_snapshot_staged", "anomaly_flags", "monitoring_versioned", "net_cashflow_stream", "dq_files",
 }
 LAZY = sorted(set(QUERIES) - EAGER)
 
