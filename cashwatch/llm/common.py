@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 import numpy as np
@@ -10,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from cashwatch.sources.staging import Staging
 from cashwatch.sources.tables import stage
 
 # Fixed value: words are runs of anything but ASCII white space.
@@ -17,22 +21,57 @@ WORD = r"[^\x20\x09-\x0D]+"
 RANGES_SHIFT = 48  # the top 16 bits of a 64-bit key name one of 65,536 ranges
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name for intermediate tables, on storage that all executors share.
-
-    It lies under `spark.checkpoint.dir`; where that is unset, as in tests, under the warehouse.
-    """
+def shared_base(spark: SparkSession) -> str:
+    """Storage that all executors share: `spark.checkpoint.dir`, or where that is unset, as in
+    tests, the warehouse."""
     base = (
         spark.conf.get("spark.checkpoint.dir", None)
         or spark.sparkContext.getCheckpointDir()
         or spark.conf.get("spark.sql.warehouse.dir")
     )
-    return f"{base.rstrip('/')}/llm-{name}-{uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name for intermediate tables on shared storage."""
+    return f"{shared_base(spark)}/llm-{name}-{uuid4().hex}"
+
+
+_WORK: ContextVar[Staging | None] = ContextVar("work", default=None)
+
+
+@contextmanager
+def work_on(spark: SparkSession, name: str) -> Iterator[Staging]:
+    """A scope for the tables that `staged` writes: they go when it ends, but for those it keeps.
+
+    What an inner scope keeps belongs to the outer one.
+    """
+    outer = _WORK.get()
+    with Staging(spark, shared_base(spark), f"llm-{name}") as work:
+        token = _WORK.set(work)
+        try:
+            yield work
+        finally:
+            _WORK.reset(token)
+    if outer is not None:
+        outer.adopt(work)
 
 
 def staged(df: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
-    """Write `df` to a new scratch folder and go on from there: a lost executor costs a re-read."""
-    return stage(df, scratch(df.sparkSession, name), partitions)
+    """Write `df` and go on from there: a lost executor costs a re-read. The table belongs to the
+    scope of `work_on`, or without one to the owner of the shared folder."""
+    work = _WORK.get()
+    return stage(df, scratch(df.sparkSession, name), partitions) if work is None else work.stage(df, name, partitions)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of the scope that nothing reads any more, and let Spark drop the shuffle files
+    behind them, which it does when the driver collects garbage."""
+    work = _WORK.get()
+    if work is not None:
+        work.release(*tables)
+        gc.collect()
+        work.spark.sparkContext._jvm.System.gc()
 
 
 def key_range(key: Column) -> Column:

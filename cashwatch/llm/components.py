@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cashwatch.llm.common import staged
+from cashwatch.llm.common import discard, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if tuple(seen) == mark:
             break
         mark = tuple(seen)
-        now = staged(_small_star(_large_star(now)), "edges")
+        before, now = now, staged(_small_star(_large_star(now)), "edges")
+        discard(before)
     members = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     centres = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     found = members.unionAll(centres)

@@ -33,9 +33,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cashwatch.llm.common import staged, text_portions
+from cashwatch.llm.common import discard, staged, text_portions, work_on
 from cashwatch.llm.components import connected_components
 
 SKETCH_BITS = 20
@@ -547,7 +548,9 @@ def _mixed_pairs(mixed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
     keys = ["token", "i", "j"]
     sorted_blocks = blocks.repartition(*keys).sortWithinPartitions(*keys)
-    return staged(sorted_blocks.mapInArrow(propose, _EDGE).distinct(), "pairs")
+    pairs = staged(sorted_blocks.mapInArrow(propose, _EDGE).distinct(), "pairs")
+    discard(rows)
+    return pairs
 
 
 def _like_sized(rows: list[tuple], rule: Rule) -> Iterator[list[tuple]]:
@@ -578,10 +581,22 @@ def _compared(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 def jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """`row, doc_id, n_shingles, component, component_id` of every row of `docs`
     (`doc_id, text`). `row` numbers the rows, `component` is the smallest row connected."""
+    with work_on(docs.sparkSession, "jaccard") as work:
+        placed = work.keep(_placed_rows(docs, rule))
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(least, "component").select(
+        "row", "doc_id", F.col("n").alias("n_shingles"), "component", "component_id"
+    )
+
+
+def _placed_rows(docs: DataFrame, rule: Rule) -> DataFrame:
+    """`row, doc_id, n, component`, written; tables go as soon as what is made of them is written."""
     scanned = _sizes_and_sketch(docs, rule)
     rows = scanned.filter("kind = 'doc'").select("row", "doc_id", "n", "c", "c2")
     filled = rows.filter("n > 0")
-    tokens = _with_partners(_repeated(_early_tokens(docs, _order(scanned), rule)), rule)
+    repeated = _repeated(_early_tokens(docs, _order(scanned), rule))
+    tokens = _with_partners(repeated, rule)
+    discard(repeated)
     sets = _candidate_sets(docs, tokens, rule)
 
     # A set's node is the smallest row that holds it.
@@ -592,43 +607,63 @@ def jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         b = nodes.select(F.col("c").alias("b1"), F.col("c2").alias("b2"), F.col("node").alias("b"))
         return ends.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("a", "b")
 
-    labels = staged(connected_components(as_nodes(_block_edges(_placed(tokens, 0), sets, rule))), "labels")
-
-    def of_set() -> DataFrame:
+    def of_set(labels: DataFrame) -> DataFrame:
         return nodes.join(labels, "node", "left").select("c", F.coalesce("component", "node").alias("label"))
 
-    def grown(ends: DataFrame) -> DataFrame:
+    def grown(labels: DataFrame, ends: DataFrame) -> DataFrame:
         known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        return staged(connected_components(known.unionAll(as_nodes(ends))), "labels")
-
-    mixed = _mixed(tokens, of_set())
-    sets = _only(sets, mixed)
+        found = staged(connected_components(known.unionAll(as_nodes(ends))), "labels")
+        discard(labels)
+        return found
+
+    edges = _block_edges(_placed(tokens, 0), sets, rule)
+    labels = staged(connected_components(as_nodes(edges)), "labels")
+    mixed = _mixed(tokens, of_set(labels))
+    left = _only(sets, mixed)
+    discard(tokens, sets, edges)
     turns = [_placed(mixed, turn) for turn in range(1, ROUNDS)]
-    labels = grown(_block_edges(reduce(DataFrame.unionAll, turns), sets, rule))
-    mixed = _mixed(mixed.drop("label"), of_set())
-    pairs = _mixed_pairs(mixed, sets, rule)
+    edges = _block_edges(reduce(DataFrame.unionAll, turns), left, rule)
+    labels = grown(labels, edges)
+    mixed, before = _mixed(mixed.drop("label"), of_set(labels)), mixed
+    discard(before, edges)
+    pairs = _mixed_pairs(mixed, left, rule)
+    discard(mixed)
     ends = pairs.select(F.col("a1").alias("c")).unionAll(pairs.select(F.col("b1").alias("c")))
-    final = grown(_compared(pairs, _only(sets, ends), rule))
+    final = grown(labels, _compared(pairs, _only(left, ends), rule))
+    discard(pairs, left)
 
     per_set = nodes.join(final, "node", "left").select("c", "c2", F.coalesce("component", "node").alias("component"))
-    placed = staged(rows.join(per_set, ["c", "c2"], "left").select("row", "doc_id", "n", F.coalesce("component", "row").alias("component")), "placed")
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(least, "component").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"), "component", "component_id"
-    )
+    component = F.coalesce("component", "row").alias("component")
+    return staged(rows.join(per_set, ["c", "c2"], "left").select("row", "doc_id", "n", component), "placed")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` as `whole`, with `file` and `at`, which name a row of a table.
+
+    Rows of a table as it is read have such names; the rows of any other frame are written first.
+    """
+    whole = F.struct(*docs.columns).alias("whole")
+    named = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")]
+    as_read = docs._jdf.queryExecution().analyzed().children().isEmpty()  # no step after the read
+    if as_read and "_metadata" not in docs.columns:
+        try:
+            return docs.select(whole, *named)
+        except AnalysisException as error:
+            if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+                raise
+    return staged(docs.select(whole), "rows").select("whole", *named)
 
 
 def first_of_each_group(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """The rows of `docs` that stand for their group: of the smallest id, then row; rows with a
+    """The rows of `docs` that stand for their group: of the smallest id, then place; rows with a
     null id come last. Rows without words form no group and stay. Columns are those of `docs`.
 
-    Rows are numbered and written once, so that numbers mean the same rows afterwards.
+    Rows are told apart by their place in the files they are read from, so texts are not copied.
     """
-    names = docs.columns
-    numbered = staged(docs.select(F.struct(*names).alias("whole"), F.monotonically_increasing_id().alias("number")), "numbered")
-    plain = numbered.select(F.col("number").alias("doc_id"), F.col("whole.text").alias("text"))
-    found = jaccard_join(plain).select(F.col("doc_id").alias("number"), "component")
-    ids = numbered.select("number", F.col("whole.doc_id").alias("id"))
-    first = F.min(F.struct(F.col("id").isNull(), "id", "number"))
-    kept = found.join(ids, "number").groupBy("component").agg(first.alias("first")).select("first.number")
-    return numbered.join(kept, "number", "left_semi").select("whole.*")
+    rows = _keyed(docs)
+    plain = rows.select(F.struct("file", "at").alias("doc_id"), F.col("whole.text").alias("text"))
+    found = jaccard_join(plain).select("doc_id.file", "doc_id.at", "component")
+    ids = rows.select("file", "at", F.col("whole.doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "file", "at"))
+    kept = found.join(ids, ["file", "at"]).groupBy("component").agg(first.alias("first")).select("first.file", "first.at")
+    return rows.join(kept, ["file", "at"], "left_semi").select("whole.*")

@@ -118,9 +118,10 @@ def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT, keep_tex
     """`rows` (`text, host, domain, suffix, declared` and others) plus `language`,
     `probability` and `accepted`; without `text` unless `keep_text`.
 
-    `suffix` and `declared` name a language or nothing. Each text is scored once: rows are
-    written with their scores. Only the sums per host and domain are shuffled; the priors are
-    written too, so that the join back goes by their real size.
+    `suffix` and `declared` name a language or nothing. Without texts, rows are written with their
+    scores, so that each text is scored once; with them, texts are scored again for the result
+    rather than written a second time. Only the sums per host and domain are shuffled; the priors
+    are written too, so that the join back goes by their real size.
     """
     rows = rows.drop(*RESULTS)
     k = len(model.languages)
@@ -149,7 +150,7 @@ def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT, keep_tex
 
     types = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
     scored = rows.mapInArrow(score, f"{types}, _has_text boolean, _evidence array<double>, _vote array<double>")
-    return _fused(staged(scored, "scores"), known, k, accept)
+    return _fused(scored if keep_text else staged(scored, "scores"), known, k, accept)
 
 
 def _stated(column: pa.Array, right: float, known: list[str]) -> np.ndarray:

@@ -35,7 +35,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cashwatch.llm.common import staged
+from cashwatch.llm.common import discard, staged, work_on
 
 SEGMENT = 512  # turns of a conversation in one row
 BLOCK_TURNS = 100_000  # turns of a block; it holds whole segments
@@ -350,23 +350,20 @@ def _ends_digests(nodes: DataFrame) -> DataFrame:
     return sorted_ranges.mapInArrow(digests, "ka bigint, kb bigint, ends_sha256 string")
 
 
-def conversation_trie(conversations: DataFrame) -> DataFrame:
-    """One row per node of the trie of rebuilt conversations.
-
-    `conv_id` (the smallest member), `depth`, `parent_conv_id`, `n_convs`, `n_children`, `n_leaves`,
-    `saved_tokens` (code points that a shared prefix spares, over the subtree), `ends_sha256`.
-    """
+def _merged_nodes(conversations: DataFrame) -> DataFrame:
+    """The nodes of all blocks summed up by key, written."""
     turns = staged(ordered_turns(conversations), "turns")
     convs, whole = rebuilt(turns)
     convs = staged(convs, "convs")
     unknown = {"r": F.lit(NEVER), "leaf": F.lit(False), "carry": F.lit(0).cast("long")}
-    rows = staged(segments(convs, whole), "segments")
-    rows = _with_starts(rows, convs)
+    written = staged(segments(convs, whole), "segments")
+    discard(turns)
+    rows = _with_starts(written, convs)
     known = staged(_representatives(_local_nodes(rows.withColumns(unknown))), "representatives")
     local = staged(_local_nodes(_with_representatives(rows, known)), "local-nodes")
-
+    discard(written, convs, known)
     least = F.min(F.struct("conv", "r"))
-    nodes = staged(
+    return staged(
         local.groupBy("ka", "kb")
         .agg(
             F.min("depth").alias("depth"),
@@ -378,6 +375,16 @@ def conversation_trie(conversations: DataFrame) -> DataFrame:
         .join(_ends_digests(local), ["ka", "kb"], "left"),
         "nodes",
     )
+
+
+def conversation_trie(conversations: DataFrame) -> DataFrame:
+    """One row per node of the trie of rebuilt conversations.
+
+    `conv_id` (the smallest member), `depth`, `parent_conv_id`, `n_convs`, `n_children`, `n_leaves`,
+    `saved_tokens` (code points that a shared prefix spares, over the subtree), `ends_sha256`.
+    """
+    with work_on(conversations.sparkSession, "trie") as work:
+        nodes = work.keep(_merged_nodes(conversations))
     # A conversation represents the parents of its nodes too, but for the first node of its own.
     first = (F.col("depth") == F.col("least.r")) & (F.col("depth") > 0)
     parents = nodes.select(F.col("ka").alias("pa"), F.col("kb").alias("pb"), F.col("least.conv").alias("parent"))
