@@ -222,9 +222,13 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     host = F.nullif(F.regexp_extract(url, r"^[a-z]+://([^/?#:]+)", 1), F.lit(""))
     ending = F.regexp_extract(host, r"\.([a-z]{2})$", 1)
     segment = F.regexp_extract(url, r"^[a-z]+://[^/?#]+/([a-z]{2})(?:[-_/?#.]|$)", 1)
-    shown = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
-    shown = F.regexp_replace(shown, r"<[^>]{0,4000}>|&[a-zA-Z#0-9]{1,10};", " ")
-    declared = F.lower(F.regexp_extract(F.substring(html, 1, 4000), r"(?i)<html\b[^>]{0,500}?\blang\s*=\s*[\"']?([a-z]{2})", 1))
+    written = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    # Up to the last closing bracket every tag ends, so each character is passed once, however long a tag is.
+    closed = F.length(written) - F.instr(F.reverse(written), ">") + 1
+    last = F.when(F.instr(written, ">") > 0, closed).otherwise(0)
+    tagless = F.regexp_replace(F.substring(written, F.lit(1), last), r"<[^>]*+>", " ")
+    shown = F.regexp_replace(F.concat(tagless, F.substring(written, last + 1, F.length(written))), r"&[a-zA-Z#0-9]++;", " ")
+    declared = F.lower(F.regexp_extract(written, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2})", 1))
     return pages.select(
         "page_id",
         shown.alias("text"),
