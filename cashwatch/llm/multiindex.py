@@ -9,12 +9,15 @@ which `target_recall` of all moves of the threshold's length, in random directio
 neighbour farther inside is found the more surely, and each pair is sought from both sides.
 Visitors and members of a cell are then compared exactly.
 
-Equal vectors are collapsed before and counted. Full cells and crowds of visitors are cut into
-parts that meet pairwise, so no block grows with the data.
+Equal vectors are collapsed before and counted; of numbers (vectors of length one) those of one
+sign. Full cells and crowds of visitors are cut into parts that meet pairwise, so no block grows
+with the data. Vectors of different lengths have no cosine: each length that is held by more than
+`FEW` different vectors has a grid of its own, any other is one cell.
 
-Defined cases: vectors that are null, empty, zero, of unusual length, or hold null or non-finite
-components link with nothing and form components of their own; repeated ids are rows of their
-own; a component's id is its smallest id that is not null; an empty table gives an empty result.
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite components link with
+nothing and form components of their own, and so does a length that no other vector has; repeated
+ids are rows of their own; a component's id is its smallest id that is not null; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,17 +28,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from cashwatch.llm.common import staged
+from cashwatch.llm.common import discard, staged, work_on
 from cashwatch.llm.components import connected_components
-from cashwatch.llm.vectors import is_valid, matrix, row_groups, usual_length
+from cashwatch.llm.vectors import is_valid, matrix, row_groups
 
 SAMPLE_ROWS = 8192  # vectors that the codebooks are fitted on, at most
 ROWS_PER_CELL = 1024
 MOST_CODEWORDS = 256  # of a half; the grid has the square of it at most
 TARGET_RECALL = 0.999
 MEMBERS, VISITORS = 1024, 4096  # of a block
+FEW = 4096  # vectors of one length that need no grid
 
 
 def _codebook(x: np.ndarray, k: int, rng: np.random.Generator, turns: int = 12) -> np.ndarray:
@@ -116,29 +122,79 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _visits(distinct: DataFrame, grid: Grid) -> DataFrame:
-    """A row for each vector and cell it visits; `seat` 0 marks the own cell."""
-    shared = distinct.sparkSession.sparkContext.broadcast(grid)
+@dataclass
+class Cells:
+    """Numbers of the cells of all lengths: a range for each grid, one for each other length."""
+
+    grids: dict[int, Grid]
+    first: dict[int, int]  # of the cells of a length
+    count: int
+
+    @classmethod
+    def of(cls, lengths: list[int], grids: dict[int, Grid]) -> Cells:
+        first, n = {}, 0
+        for d in lengths:
+            first[d] = n
+            n += len(grids[d].first) * len(grids[d].second) if d in grids else 1
+        return cls(grids, first, n)
+
+    def visits(self, column: pa.Array) -> list[list[int]]:
+        """Cells that each vector visits, its own first."""
+        lengths = np.diff(np.asarray(column.offsets))
+        out: list[list[int]] = [[]] * len(column)
+        for d in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == d)
+            if d in self.grids:
+                x = _unit(matrix(column.take(pa.array(rows))))
+                for r, seen in zip(rows.tolist(), self.grids[d].visits(x)):
+                    out[r] = [self.first[d] + c for c in seen]
+            else:
+                for r in rows.tolist():
+                    out[r] = [self.first[d]]
+        return out
+
+
+def _visits(distinct: DataFrame, cells: Cells) -> DataFrame:
+    """A row for each vector and cell it visits; `seat` 0 marks the own cell and has the list of all.
+
+    Rows are thin: the vectors themselves go to the blocks from the table they are in.
+    """
+    shared = distinct.sparkSession.sparkContext.broadcast(cells)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                seen = list(shared.value.visits(_unit(matrix(batch.column(2)))))
+                seen = shared.value.visits(pa.concat_arrays([batch.column(1)]))
                 owner = pa.array(np.repeat(np.arange(len(seen)), [len(s) for s in seen]))
+                lists = [s if i == 0 else None for s in seen for i in range(len(s))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([c for s in seen for c in s], pa.int32()),
+                        pa.array([c for s in seen for c in s], pa.int64()),
                         pa.array([i for s in seen for i in range(len(s))], pa.int32()),
-                        pa.array([s[0] for s in seen], pa.int32()).take(owner),
-                        pa.array(seen, pa.list_(pa.int32())).take(owner),
-                        *[c.take(owner) for c in batch.columns],
+                        pa.array([s[0] for s in seen], pa.int64()).take(owner),
+                        pa.array(lists, pa.list_(pa.int64())),
+                        batch.column(0).take(owner),
                     ],
-                    names=["cell", "seat", "home", "cells", "node", "copies", "embedding"],
+                    names=["cell", "seat", "home", "cells", "node"],
                 )
 
-    schema = "cell int, seat int, home int, cells array<int>, node bigint, copies bigint, embedding array<double>"
-    return staged(distinct.select("node", "copies", "embedding").mapInArrow(visit, schema), "visits")
+    schema = "cell bigint, seat int, home bigint, cells array<bigint>, node bigint"
+    return staged(distinct.select("node", "embedding").mapInArrow(visit, schema), "visits")
+
+
+def _grids(distinct: DataFrame, rows_per_cell: int, threshold: float, target_recall: float) -> Cells:
+    """Grids fitted on a bounded sample, shared among the lengths that need one."""
+    counts = distinct.groupBy(F.size("embedding").alias("d")).count().collect()  # a row per length
+    large = {r.d: r["count"] for r in counts if r["count"] > FEW and r.d > 1}
+    grids = {}
+    for d, n in sorted(large.items()):
+        k = int(np.clip(np.ceil(np.sqrt(n / rows_per_cell)), 2, MOST_CODEWORDS))
+        own = distinct.filter(F.size("embedding") == d).select(F.col("embedding").cast("array<double>").alias("embedding"), "h1", "h2")
+        rows = max(k, SAMPLE_ROWS // len(large))
+        sample = own.orderBy(F.xxhash64("h1", "h2")).limit(rows).select("embedding").toArrow()
+        grids[d] = Grid.fit(_unit(matrix(sample.column(0).combine_chunks())), k, threshold, target_recall)
+    return Cells.of(sorted(r.d for r in counts), grids)
 
 
 def _links(block: pa.Table, threshold: float, cells: int) -> pa.RecordBatch | None:
@@ -156,8 +212,8 @@ def _links(block: pa.Table, threshold: float, cells: int) -> pa.RecordBatch | No
     if len(i) == 0:
         return None
     # A pair that the member finds too, as a visitor of the other's cell, counts there for it.
-    visited = block.column("cells").combine_chunks()
-    width = np.diff(np.asarray(visited.offsets))
+    visited = pc.fill_null(block.column("cells").combine_chunks(), [])
+    width = np.asarray(pc.list_value_length(visited))
     codes = np.repeat(np.arange(len(side)), width) * cells + np.asarray(visited.flatten())
     mutual = np.isin(j * cells + homes[i], codes)
     links = np.zeros(len(side), np.int64)
@@ -184,47 +240,50 @@ def near_duplicates(
     rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """`vec_id, n_links, component_id, kept` of every row of `vectors` (`vec_id, embedding`)."""
-    rows = vectors.select(
-        F.monotonically_increasing_id().alias("row"),
-        "vec_id",
-        F.col("embedding").cast("array<double>").alias("embedding"),
+    with work_on(vectors.sparkSession, "multiindex") as work:
+        whole = work.keep(_linked(vectors, threshold, target_recall, rows_per_cell))
+    least = whole.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    return whole.join(least, "component").select(
+        "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+def _linked(vectors: DataFrame, threshold: float, target_recall: float, rows_per_cell: int) -> DataFrame:
+    """`row, vec_id, n_links, component` of every row, written."""
+    real = isinstance(vectors.schema["embedding"].dataType.elementType, (FloatType, DoubleType))
+    embedding = F.col("embedding") if real else F.col("embedding").cast("array<double>")
+    rows = vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", embedding.alias("embedding"))
+    # The cosine of two numbers is that of their signs.
+    sign = F.transform("embedding", lambda x: F.signum(x).cast(rows.schema["embedding"].dataType.elementType))
+    rows = rows.withColumn("embedding", F.when(F.size("embedding") == 1, sign).otherwise(F.col("embedding")))
     rows = rows.withColumn("valid", is_valid(F.col("embedding")))
     rows = staged(
         rows.withColumns({f"h{i}": F.when(F.col("valid"), F.xxhash64(F.lit(i), "embedding")) for i in (1, 2)}), "vectors"
     )
-    length = usual_length(rows.filter("valid"))
-    usable = rows.filter(F.col("valid") & (F.size("embedding") == length))
+    usable = rows.filter("valid")
     distinct = staged(
         usable.groupBy("h1", "h2").agg(
             F.min("row").alias("node"), F.count("*").alias("copies"), F.min("embedding").alias("embedding")
         ),
         "distinct",
     )
-    n = distinct.count()
-    if n == 0 or length < 2:
-        return rows.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-        )
-    k = int(np.clip(np.ceil(np.sqrt(n / rows_per_cell)), 2, MOST_CODEWORDS))
-    sample = distinct.select("embedding").orderBy(F.xxhash64("h1", "h2")).limit(SAMPLE_ROWS).toArrow()
-    grid = Grid.fit(_unit(matrix(sample.column(0).combine_chunks())), k, threshold, target_recall)
-
+    grid = _grids(distinct, rows_per_cell, threshold, target_recall)
     visits = _visits(distinct, grid)
     sizes = visits.groupBy("cell").agg(
         F.ceil(F.count_if(F.col("seat") == 0) / F.lit(float(MEMBERS))).cast("int").alias("m_parts"),
         F.ceil(F.count("*") / F.lit(float(VISITORS))).cast("int").alias("v_parts"),
     )
-    # One row per cell of the grid, of which there are `MOST_CODEWORDS` squared at most.
-    placed = visits.join(F.broadcast(sizes), "cell").filter("m_parts > 0")
+    placed = visits.join(sizes, "cell").filter("m_parts > 0")
     own = lambda parts, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(parts)).cast("int")
     each = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    values = ["home", "cells", "node", "copies", "embedding"]
-    members = placed.filter("seat = 0").select("cell", own("m_parts", 1).alias("mp"), each("v_parts").alias("vp"), F.lit(1).alias("member"), *values)
-    visitors = placed.select("cell", each("m_parts").alias("mp"), own("v_parts", 2).alias("vp"), F.lit(0).alias("member"), *values)
+    members = placed.filter("seat = 0").select("cell", own("m_parts", 1).alias("mp"), each("v_parts").alias("vp"), F.lit(1).alias("member"), "home", "cells", "node")
+    no_list = F.lit(None).cast("array<bigint>").alias("cells")
+    visitors = placed.select("cell", each("m_parts").alias("mp"), own("v_parts", 2).alias("vp"), F.lit(0).alias("member"), "home", no_list, "node")
     keys = ["cell", "mp", "vp"]
-    blocks = members.unionByName(visitors).repartition(*keys).sortWithinPartitions(*keys)
-    cells = len(grid.first) * len(grid.second)
+    seats = members.unionByName(visitors).join(distinct.select("node", "copies", "embedding"), "node")
+    columns = [*keys, "member", "home", "cells", "node", "copies", "embedding"]
+    blocks = seats.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
+    cells = grid.count
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in row_groups(batches, 3):
@@ -233,6 +292,7 @@ def near_duplicates(
                 yield found
 
     found = staged(blocks.mapInArrow(link, "node bigint, links bigint, root bigint"), "links")
+    discard(visits)
     components = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     per_vector = distinct.select("h1", "h2", "node", "copies").join(counts, "node", "left").join(components, "node", "left")
@@ -240,11 +300,5 @@ def near_duplicates(
         "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component")
     )
     joined = usable.select("row", "vec_id", "h1", "h2").join(per_vector, ["h1", "h2"]).select("row", "vec_id", "n_links", "component")
-    alone = rows.filter(~F.col("valid") | (F.size("embedding") != length)).select(
-        "row", "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("row").alias("component")
-    )
-    whole = staged(joined.unionByName(alone), "linked")
-    least = whole.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    return whole.join(least, "component").select(
-        "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    alone = rows.filter("NOT valid").select("row", "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("row").alias("component"))
+    return staged(joined.unionByName(alone), "linked")
