@@ -38,6 +38,7 @@ WEAK = {
 KINDS = [*STRONG, *WEAK]
 SECRETS = ["assign", "hex", "bare"]  # the rest identify or locate
 SCOPE = 200
+PORTION = 64  # matches that are placed together
 
 _SPAN = "struct<start:int,place:int,kind:string,end:int>"
 
@@ -68,8 +69,21 @@ def _matches(text: Column, kind: str, pattern: str, group: int, least: int) -> C
         out = F.when(keep(x["v"]), F.concat(state["out"], F.array(span))).otherwise(state["out"])
         return F.struct((start + x["n"]).alias("at"), out.alias("out"))
 
-    first = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    spans = F.aggregate(steps, first, step, lambda state: state["out"])
+    # Arrays are copied when they grow, so matches are placed in portions, and portions put together.
+    def portion(state: Column, some: Column) -> Column:
+        first = F.struct(state["at"].alias("at"), none.alias("out"))
+        placed = F.aggregate(some, first, step)
+        joined = lambda p: F.struct(p["at"].alias("at"), F.concat(state["out"], F.array(p["out"])).alias("out"))
+        return F.transform(F.array(placed), joined)[0]
+
+    def placed_in_portions(all_steps: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(all_steps) - 1, F.lit(PORTION))
+        portions = F.transform(starts, lambda i: F.slice(all_steps, i + 1, F.lit(PORTION)))
+        nothing = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("out"))
+        return F.flatten(F.aggregate(portions, nothing, portion, lambda state: state["out"]))
+
+    # An array of one names the matches, so that they are found once and not for each portion.
+    spans = F.transform(F.array(steps), placed_in_portions)[0]
     return F.when(text.rlike(pattern), spans).otherwise(none)
 
 
