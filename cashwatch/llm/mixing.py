@@ -143,7 +143,8 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """`doc_id, source, size, source_size, target, epochs, taken` of every document of
     `docs` (`doc_id, text, source`). The texts are read once."""
     sized = staged(sized_documents(docs, mix), "mix")
-    return with_taken(sized, cuts(sized, mix)).select(
+    # Written, so that the join back goes by the size of a row per source and splits no source by key.
+    return with_taken(sized, staged(cuts(sized, mix), "cuts")).select(
         "doc_id", "source", "size", "source_size", "target", "epochs", "taken"
     )
 
