@@ -12,10 +12,13 @@ cut into blocks of bounded size, each with a kd-tree of its own. A query first s
 of its own cell, which bounds its k-th distance. It then goes to all other blocks whose region
 passes the test. Blocks of queries and blocks of vectors meet; results are merged per query.
 
-Defined cases: vectors that are null, empty, zero, of unusual length, or hold null or non-finite
-components take no part, as candidates and as queries; rows without an id neither; of rows with
-one id the smallest array stands for the id; ties go to the smaller id; an empty table gives an
-empty result; other columns are ignored.
+Vectors of different lengths have no inner product. The index is built for the most common length;
+blocks of any other length are compared with all queries of that length.
+
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
+part, as candidates and as queries; rows without an id neither; of rows with one id the smallest
+array stands for the id; ties go to the smaller id; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,9 @@ ROWS_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 8192
 MOST_CELLS = 1024
 LEAF = 32
+FIRST_LEAVES = 4  # of the first portion; each has twice as many as the one before
+QUERIES_AT_ONCE = 64
+SPARSE = 1 / 16  # of a block's rows, below which products are taken one query at a time
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -139,18 +146,24 @@ class BlockTree:
         self.low = np.minimum.reduceat(self.points, self.starts)
         self.high = np.maximum.reduceat(self.points, self.starts)
 
-    def neighbours(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-        """Projected neighbours in growing portions of leaves by distance: a bound below all of
-        the portion's and later squared distances, rows (in leaf order), and their distances."""
-        gap = np.maximum(np.maximum(self.low - point, point - self.high), 0.0)
-        near = (gap**2).sum(1)
+        self.leaf = np.repeat(np.arange(len(leaves)), self.ends - self.starts)
+        self.squares = (self.points**2).sum(1)
+
+    def distances(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances of each point to the boxes of all leaves, and to all rows in leaf order."""
+        gap = np.maximum(np.maximum(self.low - points[:, None], points[:, None] - self.high), 0.0)
+        rows = self.squares + (points**2).sum(1)[:, None] - 2 * points @ self.points.T
+        return (gap**2).sum(2), np.maximum(rows, 0.0)
+
+    def portions(self, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves by distance in growing portions: the least distance of each portion, and the
+        portion of each row. All of a portion's and later distances are at least the least one."""
         order = np.argsort(near, kind="stable")
-        at, take = 0, 4
-        while at < len(order):
-            some = order[at : at + take]
-            rows = np.concatenate([np.arange(self.starts[i], self.ends[i]) for i in some])
-            yield float(near[some[0]]), rows, ((self.points[rows] - point) ** 2).sum(1)
-            at, take = at + take, take * 2
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        portion = np.log2(rank / FIRST_LEAVES + 1).astype(np.int8)  # 4 leaves, 8, 16, ...
+        starts = FIRST_LEAVES * ((1 << np.arange(portion.max() + 1)) - 1)
+        return near[order[starts]], portion[self.leaf]
 
 
 def _exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -166,26 +179,42 @@ def search_block(
     tree = BlockTree(projection.vectors(x))
     ids, x = ids[tree.order], x[tree.order]
     scaled, points = projection.scaled(q), projection.queries(q)
-    stretch = projection.longest / np.linalg.norm(q, axis=1)
+    for at in range(0, len(q), QUERIES_AT_ONCE):
+        some = slice(at, at + QUERIES_AT_ONCE)
+        near, far = tree.distances(points[some])
+        # Many rows of a block are verified for some query: their products are taken together.
+        together = scaled[some] @ x.T if (far <= test * bounds[some, None]).mean() > SPARSE else None
+        for r in range(at, min(at + QUERIES_AT_ONCE, len(q))):
+            best_rows, best = np.zeros(0, np.int64), np.zeros(0)
+            bound, distance = bounds[r], far[r - at]
+            least, portion = tree.portions(near[r - at])
+            for p, nearest in enumerate(least.tolist()):
+                if nearest > test * bound:
+                    break
+                rows = np.flatnonzero((portion == p) & (distance <= test * bound) & (ids != query_ids[r]))
+                if len(rows) == 0:
+                    continue
+                best_rows = np.concatenate([best_rows, rows])
+                best = np.concatenate([best, x[rows] @ scaled[r] if together is None else together[r - at, rows]])
+                if len(best) >= k:
+                    kth = np.partition(best, len(best) - k)[len(best) - k]
+                    keep = best >= kth - 1e-9 * projection.longest**2  # ties are kept for the exact order
+                    best_rows, best = best_rows[keep], best[keep]
+                    bound = min(bound, max(0.0, 2 * projection.longest**2 - 2 * kth) * (1 + 1e-9))
+            score = _exact(x[best_rows], q[r])
+            order = np.lexsort((ids[best_rows], -score))[:k]
+            yield r, ids[best_rows][order], score[order]
+
+
+def compare_block(
+    ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The k best of a block for each query, by comparison with all; for lengths that have no index."""
     for r in range(len(q)):
-        best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        bound = bounds[r]
-        for nearest, rows, far in tree.neighbours(points[r]):
-            if nearest > test * bound:
-                break
-            rows = rows[(far <= test * bound) & (ids[rows] != query_ids[r])]
-            if len(rows) == 0:
-                continue
-            best_rows = np.concatenate([best_rows, rows])
-            best = np.concatenate([best, x[rows] @ scaled[r]])
-            if len(best) >= k:
-                kth = np.partition(best, len(best) - k)[len(best) - k]
-                keep = best >= kth - 1e-9 * projection.longest**2  # ties are kept for the exact order
-                best_rows, best = best_rows[keep], best[keep]
-                bound = min(bound, max(0.0, 2 * projection.longest**2 - 2 * kth) * (1 + 1e-9))
-        score = _exact(x[best_rows], q[r])
-        order = np.lexsort((ids[best_rows], -score))[:k]
-        yield r, ids[best_rows][order], score[order]
+        rows = np.flatnonzero(ids != query_ids[r])
+        score = _exact(x[rows], q[r])
+        order = np.lexsort((ids[rows], -score))[:k]
+        yield r, ids[rows][order], score[order]
 
 
 _FOUND = "query_id bigint, vec_id bigint, score double"
@@ -202,7 +231,10 @@ def _searched(rows: DataFrame, projection: Projection, k: int, test: float) -> D
                 continue
             x = matrix(block.column("embedding").combine_chunks())
             ids, bounds = np.asarray(block.column("vec_id")), np.asarray(block.column("bound"))
-            found = search_block(ids[~asks], x[~asks], ids[asks], x[asks], bounds[asks], shared.value, k, test)
+            if block.column("cell")[0].as_py() < 0:
+                found = compare_block(ids[~asks], x[~asks], ids[asks], x[asks], k)
+            else:
+                found = search_block(ids[~asks], x[~asks], ids[asks], x[asks], bounds[asks], shared.value, k, test)
             parts = [(np.full(len(i), ids[asks][r]), i, s) for r, i, s in found if len(i)]
             if parts:
                 yield pa.RecordBatch.from_arrays(
@@ -232,6 +264,7 @@ def nearest_neighbours(
     empty = rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     if length == 0:
         return empty
+    others = rows.filter(F.size("embedding") != length)
     rows = rows.filter(F.size("embedding") == length)
     square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
     n, longest = rows.agg(F.count("*"), F.sqrt(F.max(square))).first()
@@ -304,7 +337,17 @@ def nearest_neighbours(
     sent = bounded.mapInArrow(
         spread, "cell int, part int, group int, vec_id bigint, bound double, embedding array<double>"
     ).withColumn("is_query", F.lit(1))
-    second = _searched(offered.unionByName(sent), projection, k, test)
+    # Other lengths: blocks that all queries of the length visit.
+    d = F.size("embedding").alias("d")
+    counts_of = others.groupBy(d).agg(F.ceil(F.count("*") / F.lit(float(rows_per_block))).cast("int").alias("parts"))
+    sized = others.withColumn("d", d).join(counts_of, "d").withColumns({"cell": -F.col("d"), "bound": infinite})
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    blocks = sized.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.col("parts")).cast("int"))
+    blocks = blocks.withColumns({"group": every(F.lit(groups)), "is_query": F.lit(0)})
+    asking = sized.filter(is_query).withColumns({"group": group, "is_query": F.lit(1)}).withColumn("part", every(F.col("parts")))
+    columns = ["cell", "part", "group", "is_query", "vec_id", "bound", "embedding"]
+    met = [f.select(*columns) for f in (offered, sent, blocks, asking)]
+    second = _searched(reduce(DataFrame.unionAll, met), projection, k, test)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = first.unionByName(second).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
