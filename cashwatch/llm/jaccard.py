@@ -46,6 +46,8 @@ LEAF = 16
 FANOUT = 8
 BLOCK = 1024  # documents of a block
 BYTES_AT_ONCE = 1_000_000
+ROWS_AT_ONCE = 256  # of a batch that are Python objects at a time
+SEEN = 100_000  # sets that a task remembers having sent
 ROUNDS = 4
 
 
@@ -198,7 +200,7 @@ def _early_tokens(docs: DataFrame, classes: np.ndarray, rule: Rule) -> DataFrame
                 c = _set_ids(s)[0] if len(s) else None
                 if c is None or c in seen:
                     continue
-                if len(seen) > 500_000:  # forgetting only repeats rows, which are dropped later
+                if len(seen) > SEEN:  # forgetting only repeats rows, which are dropped later
                     seen.clear()
                 seen.add(c)
                 p = int(rule.early(np.int64(len(s))))
@@ -280,8 +282,8 @@ def signature(tokens: np.ndarray, bits: int) -> np.ndarray:
 
 
 def signature_bits(size: int) -> int:
-    """At least two bits for each token."""
-    return 1 << max(8, (2 * size - 1).bit_length())
+    """At least four bits for each token: with two, bounds let eight times as many pairs pass."""
+    return 1 << max(8, (4 * size - 1).bit_length())
 
 
 def folded(bitmap: np.ndarray, bits: int) -> np.ndarray:
@@ -389,12 +391,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple
     """Groups of rows with equal first `keys` columns, from batches sorted by them."""
     now, group = None, []
     for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if row[:keys] != now:
-                if group:
-                    yield group
-                now, group = row[:keys], []
-            group.append(row[keys:])
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            for row in zip(*[c.to_pylist() for c in batch.slice(at, ROWS_AT_ONCE).columns]):
+                if row[:keys] != now:
+                    if group:
+                        yield group
+                    now, group = row[:keys], []
+                group.append(row[keys:])
     if group:
         yield group
 
@@ -432,7 +435,7 @@ def _candidate_sets(docs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame
             out = []
             for s, (c, c2), want in zip(sets, ids, wanted.tolist()):
                 if want and c not in seen:
-                    if len(seen) > 500_000:
+                    if len(seen) > SEEN:
                         seen.clear()
                     seen.add(c)
                     out.append((c, c2, len(s), pack(s), signature(s, signature_bits(len(s))).tobytes()))
