@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 
 from cashwatch.llm.common import text_portions
 
-MEMORY = 200_000
+MEMORY = 120_000
 LONGEST_KEPT = 200  # longer words are encoded but not remembered
-BYTES_AT_ONCE = 6_000_000  # of text that a task holds in pieces
+BYTES_AT_ONCE = 3_000_000  # of text that a task holds in pieces
 _GAP, _GONE = -1, -2
 
 # How the vocabulary's text is cut into words, after NFC, single spaces and

@@ -64,14 +64,15 @@ def staged(df: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFram
     return stage(df, scratch(df.sparkSession, name), partitions) if work is None else work.stage(df, name, partitions)
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables of the scope that nothing reads any more, and let Spark drop the shuffle files
-    behind them, which it does when the driver collects garbage."""
+def discard(*tables: DataFrame, shuffles: bool = True) -> None:
+    """Delete tables of the scope that nothing reads any more. With `shuffles`, let Spark drop the
+    shuffle files behind them too, which it does when the driver collects garbage."""
     work = _WORK.get()
     if work is not None:
         work.release(*tables)
-        gc.collect()
-        work.spark.sparkContext._jvm.System.gc()
+        if shuffles:
+            gc.collect()
+            work.spark.sparkContext._jvm.System.gc()
 
 
 def key_range(key: Column) -> Column:
@@ -112,7 +113,10 @@ def span_text(spans: Column) -> Column:
 def text_portions(
     batches: Iterator[pa.RecordBatch], most_bytes: int, column: str = "text"
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Slices of the batches, with their texts, that hold at most so much text, or one row."""
+    """Slices of the batches, with their texts, that hold at most so much text, or one row.
+
+    Python workers go on to other tasks and stages; what Arrow holds unused is given back at the end.
+    """
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
@@ -122,3 +126,4 @@ def text_portions(
                 yield batch.slice(start, i - start), texts.slice(start, i - start).to_pylist()
                 start, held = i, 0
             held += n
+    pa.default_memory_pool().release_unused()
