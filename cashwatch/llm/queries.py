@@ -69,9 +69,20 @@ def op3_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
-    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    def joined(spans: str) -> Column:
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(each, ",").alias(spans)
+
     return repeated_substrings(_documents(spark, d)).select(
-        "doc_id", "n_chunks", "n_repeated", "repeated_chars", "removable_chars", F.array_join(spans, ",").alias("spans")
+        "doc_id",
+        "n_chunks",
+        "n_repeated",
+        "repeated_chars",
+        "removable_chars",
+        joined("spans"),
+        "n_passages",
+        "passage_chars",
+        joined("passages"),
     )
 
 
