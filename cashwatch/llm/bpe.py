@@ -43,7 +43,7 @@ WORD_END = "</w>"
 _NEWER_CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
 _NEWER_CAPITALS |= {c: c + 32 for c in range(0x10D50, 0x10D66)}
 _NEWER = regex.compile(f"[{''.join(map(chr, _NEWER_CAPITALS))}]")
-_SEPARATORS = regex.compile(r"[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_letters() -> list[str]:
@@ -109,18 +109,17 @@ def encode_words(words: Sequence[str], v: Vocabulary) -> list[bytes]:
 
     def note(left: np.ndarray, right: np.ndarray) -> None:
         ranks = v.ranks(symbols[left], symbols[right])
-        found = ranks >= 0
-        ranks, left = ranks[found], left[found]
-        if len(ranks) == 0:
+        found = np.flatnonzero(ranks >= 0)
+        if len(found) == 0:
             return
-        order = np.argsort(ranks, kind="stable")
+        order = found[np.argsort(ranks[found], kind="stable")]
         ranks, left = ranks[order], left[order]
-        starts = np.flatnonzero(np.diff(ranks, prepend=-1))
-        for rank, positions in zip(ranks[starts].tolist(), np.split(left, starts[1:])):
+        starts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()]
+        for rank, start, stop in zip(ranks[starts].tolist(), starts, [*starts[1:], len(left)]):
             if rank in index:
-                index[rank].append(positions)
+                index[rank].append(left[start:stop])
             else:
-                index[rank] = [positions]
+                index[rank] = [left[start:stop]]
                 heapq.heappush(active, rank)
 
     note(np.arange(n - 1), np.arange(1, n))
@@ -128,7 +127,7 @@ def encode_words(words: Sequence[str], v: Vocabulary) -> list[bytes]:
         rank = heapq.heappop(active)
         left_symbol, right_symbol, merged = v.pairs[rank]
         lists = index.pop(rank)
-        i = np.unique(np.concatenate(lists)) if len(lists) > 1 else np.sort(lists[0])
+        i = np.unique(np.concatenate(lists) if len(lists) > 1 else lists[0])
         i = i[symbols[i] == left_symbol]
         i = i[symbols[after[i]] == right_symbol]  # else an earlier merge used one of the two
         if left_symbol == right_symbol:
@@ -139,9 +138,9 @@ def encode_words(words: Sequence[str], v: Vocabulary) -> list[bytes]:
         k = after[j]
         symbols[i], symbols[j] = merged, _GONE
         after[i], before[k] = k, i
-        note(i, k)
-        known = before[i] >= 0
-        note(before[i][known], i[known])
+        h = before[i]
+        known = h >= 0
+        note(np.concatenate([i, h[known]]), np.concatenate([k, i[known]]))
 
     alive = symbols >= 0
     ids = symbols[alive].astype("<u4")
@@ -180,7 +179,7 @@ class Encoder:
         """The text between white space. No word crosses it, so chunks are encoded for themselves."""
         text = lowered(text)
         # str.split also cuts at four control characters that are no white space here.
-        return _SPACES.split(text) if _SEPARATORS.search(text) else text.split()
+        return _SPACES.split(text) if any(c in text for c in _SEPARATORS) else text.split()
 
     def _pieces(self, text: str) -> list[str]:
         """Chunks; special tokens, cut out before anything else, stand in capitals."""

@@ -40,8 +40,9 @@ SLACK = 2  # tokens left free in each of them, on average
 CUTS = (6, 10, 14)  # rests that are cut, tried in this order
 TASK_BITS = 33  # a sequence's number is its task's number and a count of so many bits
 
-MEMORY = 250_000  # remembered words of each of two generations
+MEMORY = 500_000  # remembered words
 LONGEST_KEPT = 200
+AFTER_LATIN = "\u0250"  # the first letter after the Latin blocks
 BYTES_AT_ONCE = 8_000_000
 
 Rest = tuple[object, int, bytes, int]  # id, tokens of the document before it, token ids, tokens of the document
@@ -51,48 +52,50 @@ Piece = tuple[object, int, bytes, int, int, int]  # the same, sequence, offset
 class Tokens:
     """Ids of texts, each distinct word of a portion looked up once.
 
-    Words that come again are remembered in two generations: when the younger one is full it
-    becomes the older one, and what is looked up there moves back.
+    Words that come again are remembered; when there are too many, those that the portion at hand
+    does not hold are forgotten.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.cutter = Encoder(vocabulary)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _known(self, word: str) -> bytes | None:
-        ids = self.young.get(word)
-        if ids is None:
-            ids = self.old.get(word)
-            if ids is not None:
-                self.young[word] = ids
-        return ids
-
-    def _ids_of(self, words: list[str]) -> list[bytes]:
-        if len(self.young) > MEMORY:
-            self.old, self.young = self.young, {}
+        self.known: dict[str, bytes] = {}
+
+    @staticmethod
+    def _words(piece: str) -> list[str]:
+        """The words of a piece: a plain word, perhaps with one sign behind it, is cut without a
+        search. Of Latin letters all character tables know the same."""
+        if piece.isascii() or max(piece) < AFTER_LATIN:
+            if piece.isalpha():
+                return [piece]
+            if piece[:-1].isalpha() and not piece[-1].isalnum():
+                return [piece[:-1], piece[-1]]
+        return _WORD.findall(piece)
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        if len(self.known) > MEMORY:
+            self.known = {p: self.known[p] for p in pieces if p in self.known}
+        known = self.known
         for token, number in self.v.special.items():
-            self.young[token.upper()] = number.to_bytes(4, "little")
-        ids = [self._known(w) for w in words]
-        new = [i for i, x in enumerate(ids) if x is None]
-        split = [[w] if (w := words[i]).isascii() and w.isalpha() else _WORD.findall(w) for i in new]
-        parts = list(dict.fromkeys(chain.from_iterable(split)))
-        found = {w: self._known(w) for w in parts}
-        missing = [w for w in parts if found[w] is None]
-        found.update(zip(missing, encode_words(missing, self.v)))
-        for i, own in zip(new, split):
-            ids[i] = b"".join(map(found.__getitem__, own))
-        for word, x in chain(found.items(), ((words[i], ids[i]) for i in new)):
-            if len(word) <= LONGEST_KEPT:
-                self.young[word] = x
+            known[token.upper()] = number.to_bytes(4, "little")
+        new = [p for p in pieces if p not in known]
+        split = list(map(self._words, new))
+        words = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known]
+        known.update(zip(words, encode_words(words, self.v)))
+        for piece, own in zip(new, split):
+            if len(own) != 1:  # else it is the word itself
+                known[piece] = b"".join([known[w] for w in own])
+        ids = list(map(known.__getitem__, pieces))
+        for piece in chain(words, new):
+            if len(piece) > LONGEST_KEPT:
+                known.pop(piece, None)
         return ids
 
     def of(self, texts: Sequence[str | None], end_id: int) -> tuple[bytes, list[int]]:
         """Little-endian 32-bit ids of all texts, each closed by `end_id`, and where each ends."""
         pieces = [self.cutter._pieces(t) if t else [] for t in texts]
         distinct = pa.array(list(chain.from_iterable(pieces)), pa.large_string()).dictionary_encode()
-        ids = self._ids_of(distinct.dictionary.to_pylist())
+        ids = self._ids_of(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         start = np.cumsum(size) - size
         stock = np.frombuffer(b"".join(ids), "<u4")
