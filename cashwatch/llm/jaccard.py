@@ -34,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cashwatch.llm.common import discard, staged, text_portions, work_on
 from cashwatch.llm.components import connected_components
@@ -220,11 +220,13 @@ def _early_tokens(docs: DataFrame, classes: np.ndarray, rule: Rule) -> DataFrame
     return docs.select("text").mapInArrow(scan, "token bigint, c bigint, n int")
 
 
-def _repeated(early: DataFrame) -> DataFrame:
-    """Rows of tokens that at least two sets hold. Rows come sorted by token and stream by."""
+def _repeated(early: DataFrame, rule: Rule) -> DataFrame:
+    """Rows of tokens that another set of like size holds too: linked sets differ in size by the
+    rule's part at most. Rows come sorted by token, then size, and stream by; where any such set
+    exists, the set before or after is one."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, whose successor is not known yet, and whether it had a predecessor
+        held = None  # the last row, whose successor is not known yet, and whether it is like its predecessor
         for batch in batches:
             rows = np.stack([np.asarray(batch.column(i), dtype=np.int64) for i in range(3)])
             linked = False
@@ -236,11 +238,11 @@ def _repeated(early: DataFrame) -> DataFrame:
             fresh = np.ones(rows.shape[1], bool)
             fresh[1:] = (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)
             rows = rows[:, fresh]
-            same = rows[0][1:] == rows[0][:-1]
+            like = (rows[0][1:] == rows[0][:-1]) & (100 * rows[2][:-1] >= rule.percent * rows[2][1:])
             good = np.zeros(rows.shape[1], bool)
             good[0] = linked
-            good[1:] |= same
-            good[:-1] |= same
+            good[1:] |= like
+            good[:-1] |= like
             held = (rows[:, -1:], bool(good[-1]))
             out = rows[:, :-1][:, good[:-1]]
             if out.shape[1]:
@@ -249,7 +251,7 @@ def _repeated(early: DataFrame) -> DataFrame:
             out = held[0]
             yield pa.RecordBatch.from_pydict({"token": out[0], "c": out[1], "n": out[2].astype(np.int32)})
 
-    together = early.repartition("token").sortWithinPartitions("token", "c")
+    together = early.repartition("token").sortWithinPartitions("token", "n", "c")
     return staged(together.mapInArrow(keep, "token bigint, c bigint, n int"), "tokens")
 
 
@@ -510,15 +512,19 @@ def _mixed_pairs(mixed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs that share a token of `mixed` (`token, c, n, label`) and that the trees leave.
 
     Linked sets share several early tokens, so each set leaves out the last but one of them, in
-    the order of how many sets hold a token: frequent tokens bring together the fewest. Blocks
-    of more than `BLOCK` sets are cut, and their parts meet in pairs."""
+    the order of how many sets hold a token: frequent tokens bring together the fewest. Of those
+    rows only ones with a set of like size at the same token go on. Blocks of more than `BLOCK` sets are cut, and their parts meet in pairs."""
     held = mixed.groupBy("token").agg(F.count("*").alias("held"))
     lists = mixed.join(held, "token").groupBy("c", "n", "label").agg(
         F.array_sort(F.collect_list(F.struct("held", "token"))).alias("early")  # of one set
     )
     kept = F.size("early") - _enough(rule).cast("int") + 1
     rows = lists.filter(kept > 0).select("c", "n", "label", F.explode(F.slice("early", F.lit(1), kept)).alias("t"))
-    rows = staged(rows.select("t.token", "c", "n", "label"), "mixed")
+    rows = rows.select("t.token", "c", "n", "label")
+    by_size = Window.partitionBy("token").orderBy("n")
+    smaller, larger = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    like = (100 * smaller >= rule.percent * F.col("n")) | (100 * F.col("n") >= rule.percent * larger)
+    rows = staged(rows.withColumn("_like", like).filter("_like").drop("_like"), "mixed")
     parts = F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts")
     counts = rows.groupBy("token").agg(parts, F.min("label").alias("low"), F.max("label").alias("high"))
     counts = counts.filter("low <> high").drop("low", "high")
@@ -597,7 +603,7 @@ def _placed_rows(docs: DataFrame, rule: Rule) -> DataFrame:
     scanned = _sizes_and_sketch(docs, rule)
     rows = scanned.filter("kind = 'doc'").select("row", "doc_id", "n", "c", "c2")
     filled = rows.filter("n > 0")
-    repeated = _repeated(_early_tokens(docs, _order(scanned), rule))
+    repeated = _repeated(_early_tokens(docs, _order(scanned), rule), rule)
     tokens = _with_partners(repeated, rule)
     discard(repeated)
     sets = _candidate_sets(docs, tokens, rule)
