@@ -501,11 +501,24 @@ def _edge_batch(ends: list[tuple[tuple[int, int], tuple[int, int]]]) -> pa.Recor
     )
 
 
-def _mixed(tokens: DataFrame, labels: DataFrame) -> DataFrame:
+def _not_connected(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Of `rows` (`token, c, n, label`) those in runs of like sizes that hold several labels.
+
+    The sets of a token, in order of size, are cut where the next one is too large for a link with
+    the last: linked sets are in one run, and a run of one label has nothing left to connect."""
+    size = F.col("n").cast("long")
+    by_size = Window.partitionBy("token").orderBy("n")
+    opens = F.when(100 * F.lag(size).over(by_size) >= rule.percent * size, 0).otherwise(1)
+    run = F.sum("_opens").over(by_size.rowsBetween(Window.unboundedPreceding, 0))
+    inside = Window.partitionBy("token", "_run")
+    runs = rows.withColumn("_opens", opens).withColumn("_run", run)
+    ends = runs.withColumn("_low", F.min("label").over(inside)).withColumn("_high", F.max("label").over(inside))
+    return ends.filter("_low <> _high").select(*rows.columns)
+
+
+def _mixed(tokens: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """The rows of tokens whose sets are not all connected, with their labels (`c, label`)."""
-    labelled = tokens.select("token", "c", "n").join(labels, "c")
-    ends = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return staged(labelled.join(ends.filter("low <> high").select("token"), "token"), "mixed")
+    return staged(_not_connected(tokens.select("token", "c", "n").join(labels, "c"), rule), "mixed")
 
 
 def _mixed_pairs(mixed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -520,11 +533,7 @@ def _mixed_pairs(mixed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     )
     kept = F.size("early") - _enough(rule).cast("int") + 1
     rows = lists.filter(kept > 0).select("c", "n", "label", F.explode(F.slice("early", F.lit(1), kept)).alias("t"))
-    rows = rows.select("t.token", "c", "n", "label")
-    by_size = Window.partitionBy("token").orderBy("n")
-    smaller, larger = F.lag("n").over(by_size), F.lead("n").over(by_size)
-    like = (100 * smaller >= rule.percent * F.col("n")) | (100 * F.col("n") >= rule.percent * larger)
-    rows = staged(rows.withColumn("_like", like).filter("_like").drop("_like"), "mixed")
+    rows = staged(_not_connected(rows.select("t.token", "c", "n", "label"), rule), "mixed")
     parts = F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts")
     counts = rows.groupBy("token").agg(parts, F.min("label").alias("low"), F.max("label").alias("high"))
     counts = counts.filter("low <> high").drop("low", "high")
@@ -627,13 +636,13 @@ def _placed_rows(docs: DataFrame, rule: Rule) -> DataFrame:
 
     edges = _block_edges(_placed(tokens, 0), sets, rule)
     labels = staged(connected_components(as_nodes(edges)), "labels")
-    mixed = _mixed(tokens, of_set(labels))
+    mixed = _mixed(tokens, of_set(labels), rule)
     left = _only(sets, mixed)
     discard(tokens, sets, edges)
     turns = [_placed(mixed, turn) for turn in range(1, ROUNDS)]
     edges = _block_edges(reduce(DataFrame.unionAll, turns), left, rule)
     labels = grown(labels, edges)
-    mixed, before = _mixed(mixed.drop("label"), of_set(labels)), mixed
+    mixed, before = _mixed(mixed.drop("label"), of_set(labels), rule), mixed
     discard(before, edges)
     pairs = _mixed_pairs(mixed, left, rule)
     discard(mixed)

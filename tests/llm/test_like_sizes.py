@@ -42,3 +42,10 @@ def test_components_of_texts_of_all_sizes_around_shared_passages(spark, monkeypa
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join(frame).collect()}
     expected = brute.jaccard_components(rows)
     assert found == expected and sum(k != v[1] for k, v in found.items()) > 20
+
+
+def test_runs_of_like_sizes_with_one_label_are_dropped(spark):
+    rows = [(1, 10, 100, 1), (1, 11, 90, 1), (1, 12, 40, 2), (2, 10, 100, 1), (2, 11, 90, 2), (2, 13, 72, 2), (2, 14, 50, 3)]
+    frame = spark.createDataFrame(rows, "token long, c long, n int, label long").repartition(3)
+    kept = sorted(tuple(r) for r in jaccard._not_connected(frame, Rule()).collect())
+    assert kept == [(2, 10, 100, 1), (2, 11, 90, 2), (2, 13, 72, 2)]
