@@ -15,6 +15,7 @@ ask for. What is left is compared set by set, unless already connected.
 First each document goes to the block of one token, chosen by a hash, a few times with
 different hashes; this connects groups of near copies. After that only tokens count whose
 documents are not all connected yet: their trees give pairs, which are compared exactly.
+Tokens that the very same documents hold early are one, with a weight.
 No pair is lost: every pair with a common early token is either compared or connected.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing; equal sets are
@@ -261,16 +262,27 @@ def _enough(rule: Rule) -> Column:
     return F.lit(1) + F.floor(least_partner / F.lit(20.0))
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Of tokens that the very same sets hold one stays, with the sum of their `weight`: a passage
+    that a few sets share is one row of each, not one for each of its tokens. Tokens of one set go."""
+    sets = [F.count("*").alias("held"), *(F.bit_xor(F.xxhash64(F.lit(i), "c")).alias(f"x{i}") for i in range(2))]
+    lists = rows.groupBy("token").agg(*sets, F.max("weight").alias("weight")).filter("held > 1")
+    stands = lists.groupBy("held", "x0", "x1").agg(F.min("token").alias("token"), F.sum("weight").alias("weight"))
+    return staged(rows.drop("weight").join(stands.drop("held", "x0", "x1"), "token"), "merged")
+
+
 def _with_partners(tokens: DataFrame, rule: Rule) -> DataFrame:
-    """Rows of sets that have as many repeated early tokens as any link of theirs shares, of
-    tokens that two such sets hold. A partner has at least the rule's part of a set's size."""
-    enough = _enough(rule)
+    """`token, c, n, weight`: rows of sets that have as many repeated early tokens as any link of
+    theirs shares. A partner has at least the rule's part of a set's size."""
+    rows = tokens.withColumn("weight", F.lit(1).cast("long"))
+    held = F.sum("weight").over(Window.partitionBy("c"))  # of one set
     for _ in range(2):
-        fit = tokens.groupBy("c", "n").agg(F.count("*").alias("held")).filter(F.col("held") >= enough).select("c")
-        tokens = tokens.join(fit, "c", "left_semi")
-        again = tokens.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-        tokens = tokens.join(again.filter("low <> high").select("token"), "token", "left_semi")
-    return staged(tokens.select("token", "c", "n"), "partners")
+        merged = _merged(rows)
+        discard(rows)
+        fit = merged.withColumn("held", held).filter(F.col("held") >= _enough(rule)).drop("held")
+        rows = staged(fit, "partners")
+        discard(merged)
+    return rows
 
 
 # Signature trees ---------------------------------------------------------------------------
@@ -518,22 +530,20 @@ def _not_connected(rows: DataFrame, rule: Rule) -> DataFrame:
 
 def _mixed(tokens: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """The rows of tokens whose sets are not all connected, with their labels (`c, label`)."""
-    return staged(_not_connected(tokens.select("token", "c", "n").join(labels, "c"), rule), "mixed")
+    return staged(_not_connected(tokens.join(labels, "c"), rule), "mixed")
 
 
 def _mixed_pairs(mixed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs that share a token of `mixed` (`token, c, n, label`) and that the trees leave.
+    """Pairs that share a token of `mixed` (`token, c, n, weight, label`) and that the trees leave.
 
-    Linked sets share several early tokens, so each set leaves out the last but one of them, in
+    Linked sets share several early tokens, so each set leaves out the last but one of them, by weight and in
     the order of how many sets hold a token: frequent tokens bring together the fewest. Of those
     rows only ones with a set of like size at the same token go on. Blocks of more than `BLOCK` sets are cut, and their parts meet in pairs."""
     held = mixed.groupBy("token").agg(F.count("*").alias("held"))
-    lists = mixed.join(held, "token").groupBy("c", "n", "label").agg(
-        F.array_sort(F.collect_list(F.struct("held", "token"))).alias("early")  # of one set
-    )
-    kept = F.size("early") - _enough(rule).cast("int") + 1
-    rows = lists.filter(kept > 0).select("c", "n", "label", F.explode(F.slice("early", F.lit(1), kept)).alias("t"))
-    rows = staged(_not_connected(rows.select("t.token", "c", "n", "label"), rule), "mixed")
+    last_first = Window.partitionBy("c", "n", "label").orderBy(F.desc("held"), F.desc("token"))  # of one set
+    beyond = F.sum("weight").over(last_first.rowsBetween(Window.unboundedPreceding, 0))
+    rows = mixed.join(held, "token").withColumn("beyond", beyond).filter(F.col("beyond") >= _enough(rule))
+    rows = staged(_not_connected(rows.select("token", "c", "n", "label"), rule), "mixed")
     parts = F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts")
     counts = rows.groupBy("token").agg(parts, F.min("label").alias("low"), F.max("label").alias("high"))
     counts = counts.filter("low <> high").drop("low", "high")
@@ -613,6 +623,7 @@ def _placed_rows(docs: DataFrame, rule: Rule) -> DataFrame:
     rows = scanned.filter("kind = 'doc'").select("row", "doc_id", "n", "c", "c2")
     filled = rows.filter("n > 0")
     repeated = _repeated(_early_tokens(docs, _order(scanned), rule), rule)
+    discard()  # the shuffle of all early tokens goes
     tokens = _with_partners(repeated, rule)
     discard(repeated)
     sets = _candidate_sets(docs, tokens, rule)

@@ -49,3 +49,12 @@ def test_runs_of_like_sizes_with_one_label_are_dropped(spark):
     frame = spark.createDataFrame(rows, "token long, c long, n int, label long").repartition(3)
     kept = sorted(tuple(r) for r in jaccard._not_connected(frame, Rule()).collect())
     assert kept == [(2, 10, 100, 1), (2, 11, 90, 2), (2, 13, 72, 2)]
+
+
+def test_tokens_of_the_very_same_sets_become_one(spark):
+    rows = [(t, c, 100) for t in range(30) for c in (10, 11, 12)]  # a passage that three sets share
+    rows += [(t, c, 100) for t in range(30, 36) for c in (10, 11)] + [(90, 12, 100)]
+    rows += [(t, c, 100) for t in range(40, 43) for c in (20, 21)]  # too few tokens for a link
+    frame = spark.createDataFrame(rows, "token long, c long, n int").repartition(5)
+    found = sorted((r.token, r.c, r.n, r.weight) for r in jaccard._with_partners(frame, Rule()).collect())
+    assert found == [(0, 10, 100, 30), (0, 11, 100, 30), (0, 12, 100, 30), (30, 10, 100, 6), (30, 11, 100, 6)]
